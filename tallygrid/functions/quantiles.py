@@ -1,0 +1,99 @@
+"""Exact interpolated quantiles that never gather a whole group in one task.
+
+``percentile`` keeps every distinct value of a group in one buffer. Here a first
+pass takes a bounded sketch and turns each probability into a value bracket that
+is certain to hold the wanted ranks; a second pass counts the rows outside the
+brackets and sorts only the few values inside them. Groups no larger than the
+sketch are bracketed whole.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from .scale import attach, checked_broadcast
+
+ACCURACY = 100_000
+
+
+def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
+              extra: Sequence[Column] = (), accuracy: int = ACCURACY) -> DataFrame:
+    """(keys..., n, q array<double>, extra...) with linear interpolation, nulls ignored.
+
+    ``extra`` aggregates are computed in the first pass over all rows. Groups
+    without a non-null value get a null array.
+    """
+    keys, probs = list(keys), sorted(probs)
+    step = 4.0 / accuracy
+    marks = [max(0.0, p - step) for p in probs] + [min(1.0, p + step) for p in probs]
+    x = F.col(value).cast("double")
+    x = F.when(~F.isnan(x), x)
+    first_pass = df.groupBy(*keys).agg(
+        F.count(x).alias("n"),
+        F.percentile_approx(x, marks, accuracy).alias("_marks"),
+        *extra)
+    summary = checked_broadcast(first_pass)
+    m = len(probs)
+    whole = F.col("n") <= accuracy
+    # one artificial bracket over everything for small groups
+    lows = F.when(whole, F.array(*[F.lit(float("-inf"))] * m)).otherwise(F.slice("_marks", 1, m))
+    highs = F.when(whole, F.array(*[F.lit(float("inf"))] * m)).otherwise(F.slice("_marks", m + 1, m))
+    bounds = summary.select(*keys, "n", lows.alias("_lo"), highs.alias("_hi"))
+
+    rows = df.where(x.isNotNull()).select(*keys, x.alias("_x"))
+    if keys:
+        placed = attach(rows, F.broadcast(bounds) if _is_small(summary, first_pass) else bounds, keys)
+    else:
+        one = bounds.select(F.struct("n", "_lo", "_hi").alias("b")).scalar()
+        placed = rows.withColumn("_b", one).select("_x", "_b.n", "_b._lo", "_b._hi")
+
+    inside = F.lit(False)
+    gap = F.lit(None).cast("int")
+    for i in reversed(range(m)):
+        lo, hi = F.col("_lo")[i], F.col("_hi")[i]
+        inside = inside | ((F.col("_x") >= lo) & (F.col("_x") <= hi))
+        gap = F.when(F.col("_x") < lo, F.lit(i)).otherwise(gap)
+    # a gap stands just before its bracket: sort it at the bracket's lower end
+    gap_at = F.lit(None).cast("double")
+    for i in range(m):
+        gap_at = F.when(F.col("_gap") == i, F.col("_lo")[i]).otherwise(gap_at)
+    tagged = (placed.withColumn("_inside", inside).withColumn("_gap", gap)
+              .where(F.col("_inside") | F.col("_gap").isNotNull())
+              .select(*keys, "n", "_inside",
+                      F.when(F.col("_inside"), F.col("_x")).otherwise(gap_at).alias("_at")))
+    counted = (tagged.groupBy(*keys, "n", "_at", "_inside").count())
+    order = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))) \
+        .orderBy("_at", "_inside").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counted.withColumn("_upto", F.sum("count").over(order))
+
+    picks = []
+    for i, p in enumerate(probs):
+        h = (F.col("n") - 1) * F.lit(float(p))
+        for name, rank in ((f"_a{i}", F.floor(h)), (f"_b{i}", F.ceil(h))):
+            picks.append(F.min(F.when(
+                F.col("_upto") > rank,
+                F.struct("_at", F.col("_inside"), (F.col("_upto") - F.col("count") <= rank).alias("ok"))
+            )).alias(name))
+    selected = ranked.groupBy(*keys, "n").agg(*picks)
+
+    def read(name: str) -> Column:
+        c = F.col(name)
+        return F.when(c["_inside"] & c["ok"], c["_at"]).otherwise(
+            F.raise_error(F.lit("quantile rank outside its bracket")).cast("double"))
+
+    values = []
+    for i, p in enumerate(probs):
+        h = (F.col("n") - 1) * F.lit(float(p))
+        low, high = read(f"_a{i}"), read(f"_b{i}")
+        values.append(low + (high - low) * (h - F.floor(h)))
+    q = selected.select(*keys, F.array(*values).alias("q"))
+    kept = summary.drop("_marks")
+    if keys:
+        return attach(kept, q, keys, "left")
+    return kept.withColumn("q", q.scalar())
+
+
+def _is_small(summary: DataFrame, first_pass: DataFrame) -> bool:
+    return summary is not first_pass
