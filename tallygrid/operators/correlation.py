@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from itertools import combinations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.columns import ratio
 from .profile import ranked
 
 # Lower limits of |r| per band.
@@ -20,20 +20,57 @@ def corr_label(abs_r: F.Column) -> F.Column:
 
 
 def _pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """(v1, v2, r) for the listed pairs in one scan.
+    """(v1, v2, r) for the listed pairs, pairwise complete, null for a constant column.
 
-    The regression sums skip rows where either side is null, and a constant
-    column gives null instead of a division error.
+    A first pass takes one mean per column; the second sums products of the
+    centred columns. Complete columns need one sum per pair; only pairs with
+    nulls carry their own counts and sums.
     """
-    sums, entries = [], []
-    for i, (a, b) in enumerate(pairs):
-        x, y = F.col(a).cast("double"), F.col(b).cast("double")
-        sums += [F.regr_sxy(y, x).alias(f"xy{i}"), F.regr_sxx(y, x).alias(f"xx{i}"),
-                 F.regr_syy(y, x).alias(f"yy{i}")]
-        spread = F.sqrt(f"xx{i}") * F.sqrt(f"yy{i}")
-        entries.append(F.struct(F.lit(a).alias("v1"), F.lit(b).alias("v2"),
-                                ratio(F.col(f"xy{i}"), spread).alias("r")))
-    return df.agg(*sums).select(F.inline(F.array(*entries)))
+    cols = list(dict.fromkeys(c for pair in pairs for c in pair))
+    value = {c: F.col(c).cast("double") for c in cols}
+    first = df.agg(F.count(F.lit(1)).alias("n"),
+                   *[F.count(value[c]).alias(f"n{i}") for i, c in enumerate(cols)],
+                   *[F.avg(value[c]).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    rows = first["n"]
+    full = {c: first[f"n{i}"] == rows for i, c in enumerate(cols)}
+    centred = {c: value[c] - F.lit(first[f"m{i}"] or 0.0) for i, c in enumerate(cols)}
+    slot = {c: i for i, c in enumerate(cols)}
+
+    sums = {"rows": F.count(F.lit(1))}
+    for c in cols:
+        if full[c]:
+            sums[f"s{slot[c]}"] = F.sum(centred[c])
+            sums[f"q{slot[c]}"] = F.sum(centred[c] * centred[c])
+    parts = []
+    for a, b in pairs:
+        x, y, tag = centred[a], centred[b], f"{slot[a]}_{slot[b]}"
+        sums[f"xy{tag}"] = F.sum(x * y)
+        if full[a] and full[b]:
+            names = ("rows", f"s{slot[a]}", f"s{slot[b]}", f"q{slot[a]}", f"q{slot[b]}")
+        else:
+            both = x.isNotNull() & y.isNotNull()
+            names = tuple(f"{n}{tag}" for n in ("n", "sx", "sy", "qx", "qy"))
+            for name, part in zip(names, (F.lit(1), x, y, x * x, y * y)):
+                sums[name] = F.sum(F.when(both, part))
+        parts.append((a, b, names, f"xy{tag}"))
+
+    # one row with a few numbers per column pair: finish the arithmetic here
+    total = df.agg(*[c.alias(k) for k, c in sums.items()]).first()
+    found = []
+    for a, b, (n, sx, sy, qx, qy), xy in parts:
+        count = total[n] or 0
+        if not count or total[xy] is None:
+            found.append((a, b, None))
+            continue
+        cov = total[xy] - total[sx] * total[sy] / count
+        var_x = total[qx] - total[sx] ** 2 / count
+        var_y = total[qy] - total[sy] ** 2 / count
+        # sums of a constant column leave rounding dust instead of an exact zero
+        if var_x <= 1e-14 * total[qx] or var_y <= 1e-14 * total[qy]:
+            found.append((a, b, None))
+        else:
+            found.append((a, b, cov / (math.sqrt(var_x) * math.sqrt(var_y))))
+    return df.sparkSession.createDataFrame(found, "v1 string, v2 string, r double")
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
