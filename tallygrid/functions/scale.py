@@ -129,3 +129,13 @@ def windowed(df: DataFrame, partition: Sequence[str], order: Sequence[str],
     chunked = (chunked.where(F.col("_chunk") == F.col("_home"))
                .drop("_chunk", "_home", rn))
     return cold_path(cold).unionByName(chunked)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Materialise a training table in even hash partitions.
+
+    Iterative fits read it many times; one shuffle now keeps every pass balanced.
+    """
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return settle(df.repartition(n, key))
