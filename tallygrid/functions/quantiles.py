@@ -68,19 +68,20 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[fl
         .orderBy("_at", "_inside").rowsBetween(Window.unboundedPreceding, 0)
     ranked = counted.withColumn("_upto", F.sum("count").over(order))
 
+    # the first bracketed value whose running count passes the rank; its own start
+    # must not lie beyond the rank, or the rank fell outside every bracket
     picks = []
     for i, p in enumerate(probs):
         h = (F.col("n") - 1) * F.lit(float(p))
         for name, rank in ((f"_a{i}", F.floor(h)), (f"_b{i}", F.ceil(h))):
-            picks.append(F.min(F.when(
-                F.col("_upto") > rank,
-                F.struct("_at", F.col("_inside"), (F.col("_upto") - F.col("count") <= rank).alias("ok"))
-            )).alias(name))
+            reached = F.col("_inside") & (F.col("_upto") > rank)
+            picks += [F.min(F.when(reached, F.col("_at"))).alias(name),
+                      (F.min(F.when(reached, F.col("_upto") - F.col("count"))) <= F.first(rank))
+                      .alias(f"{name}_ok")]
     selected = ranked.groupBy(*keys, "n").agg(*picks)
 
     def read(name: str) -> Column:
-        c = F.col(name)
-        return F.when(c["_inside"] & c["ok"], c["_at"]).otherwise(
+        return F.when(F.col(f"{name}_ok"), F.col(name)).otherwise(
             F.raise_error(F.lit("quantile rank outside its bracket")).cast("double"))
 
     values = []

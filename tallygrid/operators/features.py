@@ -148,8 +148,10 @@ def feature_pipeline(train: DataFrame, numeric: Sequence[str], categorical: Sequ
     parts += [f"coalesce(`{c}`, '{FILL_TEXT}') AS _c{i}" for i, c in enumerate(categorical)]
     stages = [SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")]
     if categorical:
-        for c in categorical:
-            categories(train, c)
+        sizes = train.agg(*[F.approx_count_distinct(c).alias(c) for c in categorical]).first()
+        wide = [c for c in categorical if sizes[c] > MAX_CATEGORIES]
+        if wide:
+            raise ValueError(f"more than {MAX_CATEGORIES} categories: {wide}")
         indexed = [f"_i{i}" for i in range(len(categorical))]
         encoded = [f"_o{i}" for i in range(len(categorical))]
         stages += [

@@ -60,7 +60,7 @@ def fit_tree_regression(train: DataFrame, features: str, target: str, max_depth:
                         max_bins: int = 64, seed: int = 42):
     return DecisionTreeRegressor(
         featuresCol=features, labelCol=target, maxDepth=max_depth, maxBins=max_bins,
-        minInstancesPerNode=_leaf_rows(train), cacheNodeIds=True, maxMemoryInMB=1024,
+        minInstancesPerNode=_leaf_rows(train), cacheNodeIds=True, checkpointInterval=-1, maxMemoryInMB=1024,
         seed=seed).fit(_plain(train, features))
 
 
@@ -75,7 +75,7 @@ def fit_forest_regression(train: DataFrame, features: str, target: str, trees: i
     return RandomForestRegressor(
         featuresCol=features, labelCol=target, numTrees=trees, featureSubsetStrategy="all",
         maxDepth=max_depth, maxBins=max_bins, minInstancesPerNode=_leaf_rows(train),
-        cacheNodeIds=True, maxMemoryInMB=1024, seed=seed).fit(_plain(train, features))
+        cacheNodeIds=True, checkpointInterval=-1, maxMemoryInMB=1024, seed=seed).fit(_plain(train, features))
 
 
 def forest_regression(train: DataFrame, test: DataFrame, features: str, target: str, key: str,
@@ -166,7 +166,7 @@ def tree_classification(train: DataFrame, test: DataFrame, features: str, label:
                         max_bins: int = 64, seed: int = 42) -> DataFrame:
     model = DecisionTreeClassifier(
         featuresCol=features, labelCol="label_id", maxDepth=max_depth, maxBins=max_bins,
-        minInstancesPerNode=_leaf_rows(train), cacheNodeIds=True, maxMemoryInMB=1024,
+        minInstancesPerNode=_leaf_rows(train), cacheNodeIds=True, checkpointInterval=-1, maxMemoryInMB=1024,
         seed=seed).fit(_coded(train, key, features, label, labels))
     return _class_predictions(model, train, test, key, features, label, labels)
 

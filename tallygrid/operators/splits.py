@@ -8,12 +8,12 @@ so no task ever ranks a whole class.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.columns import count_if, percent, ratio
-from ..functions.scale import attach, checked_broadcast, number_rows
+from ..functions.scale import attach, checked_broadcast, number_rows, settle
 
 PREFIX = 4
 
@@ -22,28 +22,41 @@ def hash_order(key: str, seed: int) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string")))
 
 
-def mark_first_by_hash(df: DataFrame, key: str, quota: DataFrame | int,
+def mark_first_by_hash(df: DataFrame, key: str,
+                       quota: int | Callable[[int], int] | Callable[[DataFrame], DataFrame],
                        groups: Sequence[str] = (), seed: int = 42) -> DataFrame:
     """Add ``chosen``: true for the first ``quota`` rows of each group in hash order.
 
-    1. count rows per (group, hash prefix): at most 16^4 rows per group;
+    1. count rows per (group, hash prefix): at most 16^4 rows per group, from
+       which group sizes and, through ``quota``, the quotas follow;
     2. find the prefix that holds the quota and rank only its rows;
     3. compare every row with that threshold: no shuffle of the input.
+
+    Without groups ``quota`` is a number or a function of the row count; with
+    groups it maps a table (groups..., n) to (groups..., quota).
     """
     groups = list(groups)
     slim = df.select(*groups, F.col(key).cast("string").alias("_k"), hash_order(key, seed).alias("_h"))
     slim = slim.withColumn("_p", F.substring("_h", 1, PREFIX))
-    counts = slim.groupBy(*groups, "_p").count()
+    counts = settle(slim.groupBy(*groups, "_p").count())
     w = (Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))) \
         .orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)
-    counts = counts.withColumn("_upto", F.sum("count").over(w))
-    if isinstance(quota, DataFrame):
-        counts = attach(counts, quota, groups)
+    running = counts.withColumn("_upto", F.sum("count").over(w))
+    if groups:
+        quotas = quota(counts.groupBy(*groups).agg(F.sum("count").alias("n")))
+        running = attach(running, quotas, groups)
     else:
-        counts = counts.withColumn("quota", F.lit(quota))
+        if callable(quota):
+            quota = quota(counts.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0])
+        running = running.withColumn("quota", F.lit(quota))
     before = F.col("_upto") - F.col("count")
-    cut = counts.where((before < F.col("quota")) & (F.col("_upto") >= F.col("quota"))).select(
+    cut = running.where((before < F.col("quota")) & (F.col("_upto") >= F.col("quota"))).select(
         *groups, F.col("_p").alias("_cut"), (F.col("quota") - before).alias("_rest"))
+    if not groups and isinstance(quota, int) and quota > 0:
+        # a quota beyond the table takes every row
+        total = counts.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+        if quota >= total:
+            return df.withColumn("chosen", F.lit(True))
     cut = checked_broadcast(cut)
     if groups:
         near = attach(slim, cut, groups).where(F.col("_p") == F.col("_cut"))
@@ -70,16 +83,14 @@ def _labelled(df: DataFrame, yes: str, no: str) -> Column:
 
 def split_random(df: DataFrame, key: str, test_size: float = 0.20, seed: int = 42) -> DataFrame:
     """Exactly ceil(test_size * n) test rows."""
-    quota = math.ceil(test_size * df.count())
-    marked = mark_first_by_hash(df.select(key), key, quota, seed=seed)
+    marked = mark_first_by_hash(df.select(key), key, lambda n: math.ceil(test_size * n), seed=seed)
     return marked.select(key, _labelled(marked, "test", "train"))
 
 
 def split_nested(split: DataFrame, key: str, test_size: float = 0.20, seed: int = 42) -> DataFrame:
     """Cut a validation set out of the train rows; test rows stay."""
     train = split.where(F.col("split") == "train")
-    quota = math.ceil(test_size * train.count())
-    marked = mark_first_by_hash(train.select(key), key, quota, seed=seed)
+    marked = mark_first_by_hash(train.select(key), key, lambda n: math.ceil(test_size * n), seed=seed)
     rest = split.where(F.col("split") != "train").select(key, "split")
     return marked.select(key, _labelled(marked, "validation", "train")).unionByName(rest)
 
@@ -92,22 +103,26 @@ def split_tail(df: DataFrame, order: str, fraction: float = 0.15) -> DataFrame:
                            .otherwise("train").alias("split"))
 
 
-def stratified_quotas(df: DataFrame, label: str, test_size: float = 0.20) -> DataFrame:
-    """Test rows per class by largest remainder: the total is exactly ceil(test_size * n)."""
-    n = df.count()
-    n_test = math.ceil(test_size * n)
-    share = F.lit(n_test) * F.col("count")
-    sizes = df.groupBy(label).count().select(
-        label, F.floor(share / n).cast("long").alias("_base"), (share % n).alias("_rest"))
-    short = F.lit(n_test) - F.sum("_base").over(Window.partitionBy(F.lit(0)))
-    order = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("_rest"), label))
-    return sizes.select(label, (F.col("_base") + (order <= short).cast("long")).alias("quota"))
+def stratified_quotas(sizes: DataFrame, label: str, test_size: float = 0.20) -> DataFrame:
+    """Test rows per class by largest remainder: the total is exactly ceil(test_size * n).
+
+    ``sizes`` has one row per class: (label, n).
+    """
+    whole = Window.partitionBy(F.lit(0))
+    total = F.sum("n").over(whole)
+    n_test = F.ceil(F.lit(test_size) * total).cast("long")
+    based = sizes.select(label, n_test.alias("_t"), "n", total.alias("_all")) \
+        .select(label, "_t", F.expr("_t * n div _all").alias("_base"),
+                (F.col("_t") * F.col("n") % F.col("_all")).alias("_rest"))
+    short = F.col("_t") - F.sum("_base").over(whole)
+    order = F.row_number().over(whole.orderBy(F.desc("_rest"), label))
+    return based.select(label, (F.col("_base") + (order <= short).cast("long")).alias("quota"))
 
 
 def split_stratified(df: DataFrame, key: str, label: str, test_size: float = 0.20,
                      seed: int = 42) -> DataFrame:
-    quotas = stratified_quotas(df, label, test_size)
-    marked = mark_first_by_hash(df.select(key, label), key, quotas, [label], seed)
+    marked = mark_first_by_hash(df.select(key, label), key,
+                                lambda sizes: stratified_quotas(sizes, label, test_size), [label], seed)
     return marked.select(key, label, _labelled(marked, "test", "train"))
 
 

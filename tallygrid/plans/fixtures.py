@@ -63,9 +63,10 @@ def split(spark: SparkSession, sf: str) -> DataFrame:
 
     banded = band_target(lines(spark, sf).select("line_id", "charge"), "charge",
                          [10000, 100000], list(BANDS), "band")
-    sizes = banded.groupBy("band").count().select(
-        "band", F.floor(0.2 * F.col("count") + 0.5).cast("long").alias("quota"))
-    marked = mark_first_by_hash(banded, "line_id", sizes, ["band"], seed=42)
+    marked = mark_first_by_hash(
+        banded, "line_id",
+        lambda sizes: sizes.select("band", F.floor(0.2 * F.col("n") + 0.5).cast("long").alias("quota")),
+        ["band"], seed=42)
     return marked.select("line_id", "charge", "band",
                          F.when(F.col("chosen"), "test").otherwise("train").alias("split"))
 

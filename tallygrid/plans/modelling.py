@@ -24,11 +24,8 @@ FOREST_DEPTH, SVM_STEPS = 10, 30
 
 def prepared(spark, sf, scale=False):
     """(train, test, names): feature vectors fitted on train rows, price columns kept out of the leak."""
-    rows = spl.split_apply(fx.lines(spark, sf).drop("disc_price", "rebate", "charge"),
-                           fx.split(spark, sf), KEY)
-    target = fx.split(spark, sf).select(KEY, TARGET, "band")
-    rows = rows.join(target, KEY).select(KEY, "split", TARGET, "band", *NUMERIC, *CATEGORICAL)
-    rows = spread(rows, KEY)
+    inputs = fx.lines(spark, sf).select(KEY, *NUMERIC, *CATEGORICAL)
+    rows = spread(inputs.join(fx.split(spark, sf), KEY), KEY)
     train = rows.where("split = 'train'")
     model = feat.feature_pipeline(train, NUMERIC, CATEGORICAL, scale=scale)
     table = spread(feat.feature_vectors(model, rows, [KEY, "split", TARGET, "band"]), KEY)
