@@ -11,11 +11,13 @@ import math
 import time
 import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, OneVsRest,
                                        RandomForestClassifier)
 from pyspark.ml.functions import array_to_vector
@@ -207,22 +209,42 @@ class PairwiseSVM:
     intercepts: np.ndarray
 
 
-def fit_pairwise_svm(train: DataFrame, features: str, label: str, labels: Sequence[str],
-                     c: float = 1.0, max_iter: int = 100) -> PairwiseSVM:
-    """Hinge-loss separators with penalty 1/(C*n) for every pair of classes that occur."""
+def fit_pairwise_svms(train: DataFrame, features: str, label: str, labels: Sequence[str],
+                      cs: Sequence[float], max_iter: int = 100,
+                      threads: int = 8) -> dict[float, tuple[PairwiseSVM, float]]:
+    """Hinge-loss separators with penalty 1/(C*n) for every C and every pair of classes that occur.
+
+    The fits are independent sequences of small jobs, so a few of them run side
+    by side. Returns the machine and its summed fit seconds per C.
+    """
     sizes = {r[0]: r[1] for r in train.groupBy(label).count().collect()}
     present = [i for i, v in enumerate(labels) if sizes.get(v)]
-    pairs, weights, intercepts = [], [], []
-    for i, j in combinations(present, 2):
+    pairs = list(combinations(present, 2))
+
+    def fit(task):
+        c, (i, j) = task
         both = train.where(F.col(label).isin(labels[i], labels[j])).select(
             features, (F.col(label) == labels[j]).cast("double").alias("y"))
         n = sizes[labels[i]] + sizes[labels[j]]
+        start = time.perf_counter()
         model = LinearSVC(featuresCol=features, labelCol="y", regParam=1.0 / (c * n),
                           maxIter=max_iter, standardization=False).fit(both)
-        pairs.append((i, j))
-        weights.append(model.coefficients.toArray())
-        intercepts.append(model.intercept)
-    return PairwiseSVM(list(labels), pairs, np.array(weights), np.array(intercepts))
+        return model.coefficients.toArray(), model.intercept, time.perf_counter() - start
+
+    tasks = [(c, pair) for c in cs for pair in pairs]
+    with ThreadPoolExecutor(threads) as pool:
+        done = dict(zip(tasks, pool.map(inheritable_thread_target(train.sparkSession)(fit), tasks)))
+    out = {}
+    for c in cs:
+        fits = [done[(c, pair)] for pair in pairs]
+        out[c] = (PairwiseSVM(list(labels), pairs, np.array([f[0] for f in fits]),
+                              np.array([f[1] for f in fits])), sum(f[2] for f in fits))
+    return out
+
+
+def fit_pairwise_svm(train: DataFrame, features: str, label: str, labels: Sequence[str],
+                     c: float = 1.0, max_iter: int = 100) -> PairwiseSVM:
+    return fit_pairwise_svms(train, features, label, labels, [c], max_iter)[c][0]
 
 
 def vote(x: np.ndarray, svm: PairwiseSVM) -> np.ndarray:
@@ -326,10 +348,7 @@ def svm_sweep(train: DataFrame, test: DataFrame, features: str, label: str, labe
             a, b = apply(a), apply(b)
         a = a.persist()
         try:
-            for c in cs:
-                start = time.perf_counter()
-                svm = fit_pairwise_svm(a, features, label, labels, c, max_iter)
-                seconds = time.perf_counter() - start
+            for c, (svm, seconds) in fit_pairwise_svms(a, features, label, labels, cs, max_iter).items():
                 scored = svm_predictions(svm, a.limit(0), b, features, label, key)
                 row = classification_metrics(scored, labels, ["split"]).drop("split").select(
                     F.lit(kernel).alias("kernel"), F.lit(float(c)).alias("c"), "*",
