@@ -100,37 +100,40 @@ def iforest_fit(df: DataFrame, key: str, features: str, trees: int = 300, sample
 
 
 def forest_arrays(forest: DataFrame) -> tuple[np.ndarray, ...]:
-    """The node table as (trees, nodes) arrays: bounded by trees x 2 * sample."""
-    pdf = forest.toPandas()
-    ids = np.unique(pdf["tree_id"])
-    slot = np.searchsorted(ids, pdf["tree_id"])
-    shape = (len(ids), int(pdf["node_id"].max()) + 1)
-    arrays = []
-    for name, kind in (("feature", int), ("threshold", float), ("left", int), ("right", int)):
-        a = np.full(shape, -1, dtype=kind)
-        a[slot, pdf["node_id"]] = pdf[name]
-        arrays.append(a)
-    path = np.zeros(shape)
-    path[slot, pdf["node_id"]] = pdf["depth"] + average_path(pdf["size"])
-    return (*arrays, path)
-
-
-def mean_path(x: np.ndarray, arrays: tuple[np.ndarray, ...]) -> np.ndarray:
-    """Average path length of each row over all trees."""
-    feature, threshold, left, right, path = arrays
-    total = np.zeros(len(x))
-    rows = np.arange(len(x))
-    for t in range(len(feature)):
-        at = np.zeros(len(x), dtype=int)
-        while True:
-            f = feature[t, at]
-            inner = f >= 0
-            if not inner.any():
-                break
-            go_left = x[rows, np.maximum(f, 0)] <= threshold[t, at]
-            at = np.where(inner, np.where(go_left, left[t, at], right[t, at]), at)
-        total += path[t, at]
-    return total / len(feature)
+    """The node table as flat arrays: bounded by trees x 2 * sample.
+
+    Leaves point at themselves, so every row can take the same number of steps.
+    """
+    pdf = forest.orderBy("tree_id", "node_id").toPandas()
+    sizes = pdf.groupby("tree_id")["node_id"].size().to_numpy()
+    roots = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype("int32")
+    base = np.repeat(roots, sizes)
+    leaf = (pdf["feature"] < 0).to_numpy()
+    own = np.arange(len(pdf))
+    child = np.stack([np.where(leaf, own, base + pdf["left"]), np.where(leaf, own, base + pdf["right"])], axis=1)
+    return (roots, np.where(leaf, 0, pdf["feature"]).astype("int32"),
+            np.where(leaf, np.inf, pdf["threshold"]), child.ravel().astype("int32"),
+            (pdf["depth"] + average_path(pdf["size"])).to_numpy(), int(pdf["depth"].max()))
+
+
+def mean_path(x: np.ndarray, arrays: tuple, block: int = 2048) -> np.ndarray:
+    """Average path length of each row over all trees, in cache-sized row blocks."""
+    roots, feature, threshold, child, path, depth = arrays
+    out = np.zeros(len(x))
+    for start in range(0, len(x), block):
+        part = x[start:start + block]
+        n = len(part)
+        flat = np.ascontiguousarray(part.T).ravel()
+        rows = np.arange(n)
+        total = np.zeros(n)
+        for root in roots:
+            at = np.full(n, root)
+            for _ in range(depth):
+                right = flat[feature[at] * n + rows] > threshold[at]
+                at = child[2 * at + right]
+            total += path[at]
+        out[start:start + block] = total / len(roots)
+    return out
 
 
 def iforest_score(df: DataFrame, key: str, features: str, forest: DataFrame) -> DataFrame:

@@ -11,6 +11,8 @@ from ..functions.scale import HOT_ROWS, settle, windowed
 
 # Fixed value: the state after the last logged step of an episode.
 END = "end"
+# Transition tables up to this many rows are swept inside one partition.
+SMALL_ROWS = 100_000
 
 
 def episode_rollup(steps: DataFrame) -> DataFrame:
@@ -58,9 +60,12 @@ def q_iteration(transitions: DataFrame, gamma: float = 0.95, sweeps: int = 20,
     """Batch Q update: expected reward plus gamma times the best value of the next state.
 
     Terminal moves take the reward alone. Each sweep is one group-by and one
-    join over the transition table; a checkpoint keeps the plan short.
+    join over the transition table, shuffled only when the table is large; a
+    checkpoint keeps the plan short.
     """
     moves = settle(transitions)
+    if moves.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS:
+        moves = moves.coalesce(1)  # one partition needs no exchange in any sweep
     q = moves.select("state", "action").distinct().withColumn("q", F.lit(0.0))
     for sweep in range(1, sweeps + 1):
         value = q.groupBy(F.col("state").alias("next_state")).agg(F.max("q").alias("v"))
