@@ -44,7 +44,7 @@ def tree_samples(df: DataFrame, key: str, features: str, trees: int, sample: int
     """
     n = df.count()
     rows = df.select(F.col(key).cast("string").alias("k"), as_array(df, features).alias("v"))
-    pool = 4 * trees * sample
+    pool = trees * sample
     if n > pool:
         share = 1.25 * pool / n
         rows = rows.where(_unit_hash(F.lit(seed), F.lit("pool"), "k") < 2 * share - 1)

@@ -23,6 +23,8 @@ from .splits import mark_first_by_hash
 
 MAX_CLUSTERS = 10_000
 BLOCK_ROWS = 2048
+# Beyond this many rows the pairwise silhouette is refused: its work is quadratic.
+PAIRWISE_ROWS = 200_000
 
 
 # ---------------------------------------------------------------- fitting
@@ -134,9 +136,10 @@ def silhouette(df: DataFrame, key: str, vector: str, cluster: str, sample: int |
 
     ``euclidean`` is exact and needs every distance: rows are packed into blocks
     and each block pair is one numpy product that leaves per-row sums, never
-    pairs. The work is quadratic, so for large tables use ``sample`` (the first
-    rows in hash order, as a feature of the measure) or ``sqeuclidean``, which is
-    exact for squared distances in two linear passes.
+    pairs. The work is quadratic, so it is refused beyond ``PAIRWISE_ROWS``. For
+    larger tables use ``sqeuclidean``, exact for squared distances in two linear
+    passes over all rows, or ask for a ``sample`` (the first rows in hash order),
+    as the measure itself allows.
     """
     rows = df.select(F.col(key).alias("key"), F.col(cluster).alias("cluster"),
                      as_array(df, vector).alias("v")).where(F.col("cluster").isNotNull())
@@ -203,6 +206,8 @@ def _silhouette_squared(rows: DataFrame) -> DataFrame:
 def _silhouette_blocks(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     counts = _cluster_sizes(rows)
     total = sum(r["count"] for r in counts)
+    if total > PAIRWISE_ROWS:
+        raise ValueError(f"{total} rows: use metric='sqeuclidean' or a sample")
     blocks = max(1, -(-total // block_rows))
     slot = {r["cluster"]: i for i, r in enumerate(counts)}
     sizes = np.array([r["count"] for r in counts], dtype="float64")

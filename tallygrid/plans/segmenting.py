@@ -87,7 +87,7 @@ def _common(spark, sf):
 def _methods(spark, sf):
     half, parity = _two(spark, sf)
     return clu.method_comparison({"half": half, "parity": parity}, fx.vectors(spark, sf),
-                                 "vec_id", "embedding", "label")
+                                 "vec_id", "embedding", "label", metric="sqeuclidean")
 
 
 QUERIES = {
@@ -187,7 +187,7 @@ ari AS (SELECT n, (cell - r*c/(n*(n-1)/2.0))/((r+c)/2 - r*c/(n*(n-1)/2.0)) AS ar
 
 
 def _method_row(name, groups):
-    return f"""(WITH {_sil(groups)},
+    return f"""(WITH {_sil(groups, 2)},
 g AS (SELECT {groups} AS cluster, count(*) AS n, avg(label) AS mu FROM fx_vec GROUP BY 1)
 SELECT '{name}' AS method, round((SELECT avg(s) FROM k), 6) AS silhouette, round((SELECT ari FROM ari), 6) AS ari,
  min(n) AS small_size, max(n) AS large_size, round(min(mu), 6) AS low_mean, round(max(mu), 6) AS high_mean FROM g)"""
