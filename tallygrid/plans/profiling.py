@@ -17,6 +17,11 @@ LINES_CAT = ["l_returnflag", "p_type", "o_orderpriority", "fee_kind"]
 SKEW_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "rebate", "charge"]
 
 
+# Means of two-decimal amounts over 3 * 2^a * 5^b rows can end exactly on half of
+# the sixth digit; seven digits keep both engines away from such ties.
+MEAN_DIGITS = 7
+
+
 def long_sql(view: str, cols: list[str], type_: str) -> str:
     return " UNION ALL ".join(
         f"SELECT '{c}' AS variable, CAST({c} AS {type_}) AS value FROM {view}" for c in cols)
@@ -101,16 +106,16 @@ QUERIES = {
         table(s, d, "orders"), ["o_orderstatus", "o_orderpriority"]),
     "cardinality_summary_part": lambda s, d: prof.cardinality_summary(
         table(s, d, "part"), ["p_name", "p_brand", "p_type"]),
-    "numeric_profile": lambda s, d: rounded(prof.numeric_profile(table(s, d, "lineitem"), LINEITEM_NUM)),
+    "numeric_profile": lambda s, d: rounded(prof.numeric_profile(table(s, d, "lineitem"), LINEITEM_NUM), MEAN_DIGITS),
     "numeric_profile_missing": lambda s, d: rounded(
         prof.numeric_profile(fx.missing(s, d), MISSING_NUM)),
     "target_summary": lambda s, d: rounded(prof.target_summary(table(s, d, "orders"), "o_totalprice")),
-    "median_zero_columns": lambda s, d: rounded(prof.median_zero_columns(_profile(s, d))),
+    "median_zero_columns": lambda s, d: rounded(prof.median_zero_columns(_profile(s, d)), MEAN_DIGITS),
     "low_variability": lambda s, d: rounded(prof.low_variability(fx.lines(s, d), LINES_NUM)),
     "skew_ranking": lambda s, d: rounded(
-        prof.skew_ranking(prof.numeric_profile(fx.lines(s, d), SKEW_COLS), n=4)),
+        prof.skew_ranking(prof.numeric_profile(fx.lines(s, d), SKEW_COLS), n=4), MEAN_DIGITS),
     "skew_ranking_events": lambda s, d: rounded(
-        prof.skew_ranking(prof.numeric_profile(table(s, d, "events"), ["value", "user_id"]))),
+        prof.skew_ranking(prof.numeric_profile(table(s, d, "events"), ["value", "user_id"])), MEAN_DIGITS),
     "profile_topk": lambda s, d: rounded(prof.profile_topk(_profile(s, d), "zero_pct", 5)),
     "histogram": lambda s, d: rounded(prof.histogram(table(s, d, "orders"), "o_totalprice"), 4),
     "box_stats": lambda s, d: rounded(prof.box_stats(table(s, d, "orders"), "o_totalprice", "o_orderstatus")),
@@ -144,9 +149,9 @@ QUERIES = {
 _STAT = ["min", "q1", "median", "mean", "q3", "max", "std", "iqr", "skewness", "missing_pct", "zero_pct"]
 
 
-def _rounded_profile(view: str, cols: list[str]) -> str:
+def _rounded_profile(view: str, cols: list[str], digits: int = MEAN_DIGITS) -> str:
     return (f"SELECT variable, count, missing_count, zero_count, "
-            f"{', '.join(f'round({c}, 6) AS {c}' for c in _STAT)} FROM ({profile_sql(view, cols)}) p")
+            f"{', '.join(f'round({c}, {digits}) AS {c}' for c in _STAT)} FROM ({profile_sql(view, cols)}) p")
 
 
 def _rounded_summary(view: str, cols: list[str], where: str = "") -> str:
@@ -161,8 +166,8 @@ _LABEL = """CASE WHEN skewness > 1 THEN 'strong positive' WHEN skewness > 0.5 TH
 
 def _skew(view: str, cols: list[str], n: int) -> str:
     return f"""SELECT row_number() OVER (ORDER BY abs(skewness) DESC, variable) AS rank, variable,
- round(skewness, 6) AS skewness, round(mean, 6) AS mean, round(median, 6) AS median, round(min, 6) AS min,
- round(max, 6) AS max, {_LABEL} AS label
+ round(skewness, {MEAN_DIGITS}) AS skewness, round(mean, {MEAN_DIGITS}) AS mean, round(median, {MEAN_DIGITS}) AS median, round(min, {MEAN_DIGITS}) AS min,
+ round(max, {MEAN_DIGITS}) AS max, {_LABEL} AS label
 FROM ({profile_sql(view, cols)}) p QUALIFY rank <= {n}"""
 
 
@@ -222,14 +227,14 @@ UNION ALL (SELECT 'last' AS position, * FROM orders ORDER BY o_orderkey DESC LIM
     "cardinality_summary": _cardinality("orders", ["o_orderstatus", "o_orderpriority"]),
     "cardinality_summary_part": _cardinality("part", ["p_name", "p_brand", "p_type"]),
     "numeric_profile": _rounded_profile("lineitem", LINEITEM_NUM),
-    "numeric_profile_missing": with_views("fx_missing", _rounded_profile("fx_missing", MISSING_NUM)),
+    "numeric_profile_missing": with_views("fx_missing", _rounded_profile("fx_missing", MISSING_NUM, 6)),
     "target_summary": """SELECT count(x) AS count, round(min(x), 6) AS min, round(max(x), 6) AS max,
  round(avg(x), 6) AS mean, round(quantile_cont(x, 0.5), 6) AS median, round(stddev_samp(x), 6) AS std,
  round(quantile_cont(x, 0.25), 6) AS q1, round(quantile_cont(x, 0.75), 6) AS q3,
  round(avg(x) - quantile_cont(x, 0.5), 6) AS mean_minus_median, round(skewness(x), 6) AS skewness
 FROM (SELECT o_totalprice AS x FROM orders) t""",
-    "median_zero_columns": with_views("fx_lines", f"""SELECT variable, round(median, 6) AS median,
- round(mean, 6) AS mean, round(max, 6) AS max, zero_count, round(zero_pct, 6) AS zero_pct
+    "median_zero_columns": with_views("fx_lines", f"""SELECT variable, round(median, {MEAN_DIGITS}) AS median,
+ round(mean, {MEAN_DIGITS}) AS mean, round(max, {MEAN_DIGITS}) AS max, zero_count, round(zero_pct, {MEAN_DIGITS}) AS zero_pct
 FROM ({profile_sql('fx_lines', LINES_NUM)}) p WHERE median = 0"""),
     "low_variability": with_views("fx_lines", f"""SELECT variable, round(value, 6) AS dominant_value,
  n AS dominant_count, round(100.0*n/total, 6) AS dominant_pct

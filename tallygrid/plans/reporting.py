@@ -163,7 +163,7 @@ QUERIES = {
     "rolling_mean": lambda s, d: rounded(seq.rolling_mean(
         table(s, d, "events"), "user_id", ["ts", "event_id"], "value"), 9),
     "episode_evaluation": lambda s, d: rounded(seq.episode_evaluation(seq.episode_rollup(fx.steps(s, d)))),
-    "transition_table": lambda s, d: rounded(seq.transition_table(fx.steps(s, d))),
+    "transition_table": lambda s, d: rounded(seq.transition_table(fx.steps(s, d)), 9),
     "q_iteration": lambda s, d: rounded(_q(s, d)),
     "greedy_policy": lambda s, d: rounded(seq.greedy_policy(_q(s, d))),
     "collect_metrics": lambda s, d: rounded(_collect(s, d)),
@@ -285,7 +285,7 @@ QUALIFY row_number() OVER (PARTITION BY label ORDER BY recall DESC, CASE model W
 SELECT count(*) AS episodes, round(count(*) FILTER (WHERE g)/count(*)::DOUBLE, 6) AS success_rate,
  round(avg(n) FILTER (WHERE g), 6) AS mean_steps_success, round(avg(r), 6) AS mean_reward FROM e"""),
     "transition_table": with_views(_STEPS, f"""WITH {_TRANS} SELECT state, action, next_state, n AS count,
- round(mr, 6) AS mean_reward, round(ts, 6) AS terminal_share FROM tr"""),
+ round(mr, 9) AS mean_reward, round(ts, 9) AS terminal_share FROM tr"""),
     "q_iteration": _q_sql("SELECT state, action, round(q, 6) AS q FROM {q}"),
     "greedy_policy": _q_sql("""SELECT state, action, round(q, 6) AS q FROM {q}
 QUALIFY row_number() OVER (PARTITION BY state ORDER BY q DESC, action) = 1"""),
