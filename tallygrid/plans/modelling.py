@@ -153,8 +153,8 @@ ORACLES = {
     "anomaly_rate": with_views("fx_lines", f"""WITH {_FLAG} SELECT count(*) AS rows, count(*) FILTER (WHERE score <= 2) AS normal,
  count(*) FILTER (WHERE score > 2) AS anomalous, round(100.0*count(*) FILTER (WHERE score > 2)/count(*), 6) AS pct FROM z"""),
     "anomaly_drivers": with_views("fx_lines", f"""WITH {_FLAG}, d AS ({_DRIVERS})
-SELECT row_number() OVER (ORDER BY abs(b-a)/s DESC, variable) AS rank, variable, round(a, 6) AS normal_mean, round(b, 6) AS anomaly_mean,
- round(b-a, 6) AS difference, round(coalesce((b-a)/nullif(a, 0), 0), 6) AS rel_difference,
+SELECT row_number() OVER (ORDER BY coalesce(abs(b-a)/nullif(s, 0), 0) DESC, variable) AS rank, variable,
+ round(coalesce(a, 0), 6) AS normal_mean, round(coalesce(b, 0), 6) AS anomaly_mean, round(coalesce(b-a, 0), 6) AS difference, round(coalesce((b-a)/nullif(a, 0), 0), 6) AS rel_difference,
  round(coalesce(abs(b-a)/nullif(s, 0), 0), 6) AS std_difference FROM d QUALIFY rank <= 5"""),
     "top_anomalies": with_views("fx_lines", f"""WITH {_FLAG} SELECT row_number() OVER (ORDER BY score DESC, line_id) AS rank, line_id,
  round(score, 6) AS anomaly_score, round(charge, 6) AS charge, l_extendedprice, l_quantity FROM z QUALIFY rank <= 20"""),
