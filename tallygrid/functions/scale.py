@@ -135,7 +135,6 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     """Materialise a training table in even hash partitions.
 
     Iterative fits read it many times; one shuffle now keeps every pass balanced.
+    The number of partitions is left to AQE, which merges small ones.
     """
-    spark = df.sparkSession
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    return settle(df.repartition(n, key))
+    return settle(df.repartition(F.col(key)))

@@ -61,7 +61,7 @@ def main(argv: list[str]) -> int:
     import __spark_entry__ as entry
 
     sf = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
-    spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
+    spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", os.environ.get("SHUFFLE", "8"))
              .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "12g")
              .config("spark.ui.enabled", "false").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
