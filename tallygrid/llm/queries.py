@@ -5,9 +5,9 @@ from __future__ import annotations
 import os
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import byte_bpe
+from . import byte_bpe, language_id, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,8 +19,28 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                            public_tokenizers.PATTERN, keep_ids=False)
 
 
+def remainder(column: str, modulus: int) -> Column:
+    """crc32 of an id as text, modulo ``modulus`` (a null id counts as remainder 0)."""
+    return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(0)) % modulus
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), remainder("i", 5) != 0)
+    return toxicity.score(docs, model).select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs, remainder("i", 3) != 1)
+    return language_id.predict(docs, model).select(
+        "doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 QUERIES = {
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_toxicity": op6_toxicity,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLES: dict[str, str] = {}

@@ -99,6 +99,41 @@ class Bytes:
         return out
 
 
+_LETTERS = np.full(256, 32, np.uint8)
+_LETTERS[97:123] = np.arange(97, 123)
+_LETTERS[65:91] = np.arange(97, 123)
+_LETTERS[128:] = np.arange(128, 256)
+
+
+def letter_grams(text: Bytes, length: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash buckets of byte n-grams of lower-cased letters, in text order, and how many each document has.
+
+    Runs of other characters count as one border character, n-grams do not cross
+    them, and ``buckets`` is a power of two.
+    """
+    data = _LETTERS[text.data]
+    n = len(data) - length + 1
+    if n <= 0:
+        return np.zeros(0, np.int64), np.zeros(text.docs, np.int64)
+    border = data == 32
+    keep = np.ones(n, bool)
+    for cut in range(1, length):
+        at = text.offsets[1:-1] - cut
+        keep[at[(at >= 0) & (at < n)]] = False
+    if length <= 2:
+        keep &= ~(border[:n] & border[length - 1:])
+    for inner in range(1, length - 1):
+        keep &= ~border[inner:n + inner]
+    h = np.full(n, 2166136261 + length, np.uint32)
+    for i in range(length):
+        h = (h ^ data[i:n + i]) * np.uint32(16777619)
+    at = np.flatnonzero(keep)
+    h = h[at]
+    h = (h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
+    return ((h ^ (h >> np.uint32(13))) & np.uint32(buckets - 1)).astype(np.int64), \
+        np.diff(np.searchsorted(at, text.offsets))
+
+
 def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of the byte ranges [start, end): equal bytes give equal hashes wherever they stand."""
     down = _power_table("down", _ROLL_INVERSE, len(prefix))
