@@ -7,7 +7,7 @@ import os
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, language_id, toxicity
+from . import byte_bpe, language_id, top_k, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.fit(docs, remainder("i", 3) != 1)
@@ -40,7 +44,17 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op5_byte_bpe": op5_byte_bpe,
     "op6_toxicity": op6_toxicity,
+    "op8_top_k": op8_top_k,
     "op10_language_id": op10_language_id,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_top_k": """
+WITH v AS (SELECT vec_id, min([CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding]) AS e
+           FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len([1 for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0 GROUP BY vec_id),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum([p[1] * p[2] for p in list_zip(q.e, c.e)]) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
+}
