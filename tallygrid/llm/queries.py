@@ -7,7 +7,7 @@ import os
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, language_id, top_k, toxicity
+from . import byte_bpe, language_id, secrets, top_k, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,10 @@ def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.fit(docs, remainder("i", 3) != 1)
@@ -45,6 +49,7 @@ QUERIES = {
     "op5_byte_bpe": op5_byte_bpe,
     "op6_toxicity": op6_toxicity,
     "op8_top_k": op8_top_k,
+    "op9_secrets": op9_secrets,
     "op10_language_id": op10_language_id,
 }
 
