@@ -7,7 +7,7 @@ import os
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, language_id, secrets, top_k, toxicity
+from . import byte_bpe, language_id, personal, secrets, top_k, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op7_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.report(table(spark, sf_dir, "documents"))
+
+
 def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
 
@@ -48,6 +52,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op5_byte_bpe": op5_byte_bpe,
     "op6_toxicity": op6_toxicity,
+    "op7_personal": op7_personal,
     "op8_top_k": op8_top_k,
     "op9_secrets": op9_secrets,
     "op10_language_id": op10_language_id,
