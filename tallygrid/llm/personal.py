@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scale import settle
 from . import spans as sp
+from .rows import row_key
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
@@ -121,7 +122,7 @@ def find(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", support
     """
     plain = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = plain.withColumn("base", base_spans(F.col("text")))
-    rows = settle(rows.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), "base",
+    rows = settle(rows.select("doc_id", row_key("doc_id", "text").alias("row"), "base",
                               F.when(F.size("base") > 0, _context(F.col("text"), F.col("base"))).alias("near")))
     contexts = rows.where(F.size("near") > 0).select("row", F.inline("near"))
     flagged = disclosing_terms(plain, contexts, support=support, generalise_at=generalise_at)
@@ -152,7 +153,7 @@ def sanitise(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", rem
     """The input with base spans replaced by <kind>, and terms generalised to <kind> or removed."""
     found = find(docs, doc_id=doc_id, text=text, **options).dropDuplicates(["row"]).select(
         "row", F.col("base").alias("_base"), F.col("terms").alias("_terms"))
-    keyed = docs.withColumn("row", F.xxhash64(F.col(doc_id).cast("bigint"), F.coalesce(F.col(text), F.lit(""))))
+    keyed = docs.withColumn("row", row_key(doc_id, text))
     rows = keyed.join(found, "row")
     spans = F.concat(
         F.transform("_base", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"),

@@ -7,13 +7,17 @@ import os
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, language_id, personal, secrets, top_k, toxicity
+from . import byte_bpe, decontaminate, language_id, personal, secrets, top_k, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
                            public_tokenizers.PATTERN, keep_ids=False)
@@ -50,6 +54,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_decontaminate": op4_decontaminate,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_toxicity": op6_toxicity,
     "op7_personal": op7_personal,
