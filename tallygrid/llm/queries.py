@@ -7,13 +7,17 @@ import os
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, decontaminate, language_id, personal, secrets, top_k, toxicity
+from . import byte_bpe, decontaminate, language_id, personal, repeats, secrets, top_k, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), keep_bytes=False)
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -54,6 +58,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_repeats": op2_repeats,
     "op4_decontaminate": op4_decontaminate,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_toxicity": op6_toxicity,
