@@ -105,7 +105,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from: Column, *, sample_toxic:
     draw = F.pmod(F.xxhash64(F.lit(29), "i"), F.lit(1 << 30))
     bound = [int(min(1.0, n / sizes[y]) * (1 << 30)) for y, n in ((0, sample_other), (1, sample_toxic))]
     marks = marks.withColumn("chosen", draw < F.when(F.col("y") == 1, bound[1]).otherwise(bound[0]))
-    rows = docs.select(F.col(doc_id).alias("i"), F.col(text).alias("text")).join(marks, "i") \
+    # labels grow with the documents, so the plan is a merge join at every size
+    rows = docs.select(F.col(doc_id).alias("i"), F.col(text).alias("text")).join(marks.hint("merge"), "i") \
         .select("i", "text", "y", "chosen")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
