@@ -28,9 +28,9 @@ BLOCK = "bucket int, chunk int, stage int, data binary"
 
 
 def dealt(docs: DataFrame, *, doc_id: str, text: str, chunk_bytes: int = CHUNK_BYTES,
-          bucket_bytes: int = BUCKET_BYTES) -> tuple[DataFrame, int]:
-    """(doc_id, text, chunk) and the number of buckets."""
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+          bucket_bytes: int = BUCKET_BYTES, more: tuple[str, ...] = ()) -> tuple[DataFrame, int]:
+    """(doc_id, text, further columns, chunk) and the number of buckets."""
+    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), *more)
     total = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     chunks, buckets = max(1, -(-total // chunk_bytes)), max(1, -(-total // bucket_bytes))
     chunk = F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int")

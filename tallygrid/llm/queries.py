@@ -7,13 +7,18 @@ import os
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, decontaminate, language_id, personal, repeats, secrets, top_k, toxicity
+from . import byte_bpe, decontaminate, language_id, mixing, personal, repeats, secrets, top_k, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.score(table(spark, sf_dir, "documents"), remainder("doc_id", 10) != 0)
+    return rows.withColumn("held_out", remainder("doc_id", 10) == 0)
+
+
 def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"), keep_bytes=False)
 
@@ -58,6 +63,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_mixing": op1_mixing,
     "op2_repeats": op2_repeats,
     "op4_decontaminate": op4_decontaminate,
     "op5_byte_bpe": op5_byte_bpe,
