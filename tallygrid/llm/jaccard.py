@@ -42,8 +42,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scale import settle
 from . import chunks as ch
-from .mixing import from_planes, planes
-from .textkit import IS_SPACE, Bytes, pack, shingle_hash, slices, span_hash, unpack
+from .rows import row_key
+from .textkit import IS_SPACE, Bytes, from_planes, pack, planes, shingle_hash, slices, span_hash, unpack
 
 WIDTH = 5
 #: Links have 100 * intersection >= PERCENT * union.
@@ -71,12 +71,13 @@ def _level(count: np.ndarray) -> np.ndarray:
 
 def sets_with_index(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCENT, doc_id: str = "doc_id",
                     text: str = "text", chunk_bytes: int = 2 * ch.CHUNK_BYTES, bucket_bytes: int = ch.BUCKET_BYTES // 2) -> DataFrame:
-    """(doc_id, class, n, tokens, shorts, bits, members) per document.
+    """(doc_id, row, class, n, tokens, shorts, bits, members) per document.
 
     ``tokens`` (indexed shingles, rarest first, ``shorts`` of them for the smaller side),
     ``bits`` and ``members`` are given once per class and chunk, where there are any.
     """
-    rows, buckets = ch.dealt(docs, doc_id=doc_id, text=text, chunk_bytes=chunk_bytes, bucket_bytes=bucket_bytes)
+    rows, buckets = ch.dealt(docs.withColumn("row", row_key(doc_id, text)), doc_id=doc_id, text=text, chunk_bytes=chunk_bytes,
+                             bucket_bytes=bucket_bytes, more=("row",))
 
     def chunk_sets(table: pa.Table) -> list[np.ndarray]:
         return [s for part in slices(ch.parts_of(table)) for s in shingle_sets(part.column(1), width)]
@@ -121,12 +122,12 @@ def sets_with_index(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCE
                     bits, members = np.packbits(mark).view(np.int64).tolist(), s.tobytes()
             for c, v in zip(out, (name, n, tokens, shorts, bits, members)):
                 out[c].append(v)
-        return pa.Table.from_arrays([table.column("doc_id").combine_chunks(), *[pa.array(out[c], t) for c, t in zip(out, (
+        return pa.Table.from_arrays([*[table.column(c).combine_chunks() for c in ("doc_id", "row")], *[pa.array(out[c], t) for c, t in zip(out, (
             pa.string(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.list_(pa.int64()), pa.binary()))]],
-            names=["doc_id", *out])
+            names=["doc_id", "row", *out])
 
     answers = ch.ask(rows, ask).groupBy("bucket").applyInArrow(frequency, ch.BLOCK)
-    return ch.ask(rows, index, answers, "doc_id bigint, class string, n bigint, tokens array<bigint>, shorts int, "
+    return ch.ask(rows, index, answers, "doc_id bigint, row string, class string, n bigint, tokens array<bigint>, shorts int, "
                                         "bits array<bigint>, members binary")
 
 
@@ -233,10 +234,10 @@ def links_between(classes: DataFrame, groups: DataFrame, percent: int = PERCENT)
     return verified(bounded.where((100 + percent) * top >= percent * (F.col("an") + F.col("bn"))), classes, percent)
 
 
-def join(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCENT, **columns) -> DataFrame:
-    """(doc_id, n_shingles, component_id, component_size) for every document."""
+def membership(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCENT, **columns) -> DataFrame:
+    """(doc_id, row, n, root) for every document; ``root`` names its component, null for an empty set."""
     sets = settle(sets_with_index(docs, width=width, percent=percent, **columns))
-    classes = settle(sets.where(F.col("tokens").isNotNull()).dropDuplicates(["class"]).drop("doc_id"))
+    classes = settle(sets.where(F.col("tokens").isNotNull()).dropDuplicates(["class"]).drop("doc_id", "row"))
     groups = settle(groups_of(classes, percent))
     across = settle(links_between(classes, groups, percent))
     named = groups.select(F.col("class").alias("a"), F.col("group").alias("ga"))
@@ -244,8 +245,26 @@ def join(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCENT, **colum
     joined = components(across.join(named, "a").join(other, "b").select(F.col("ga").alias("a"), F.col("gb").alias("b")))
     roots = groups.join(joined.withColumnRenamed("node", "group"), "group", "left").select(
         "class", F.coalesce("root", "group").alias("root"))
-    rows = sets.select("doc_id", "class", "n").join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
+    return sets.select("doc_id", "row", "class", "n").join(roots, "class", "left").select(
+        "doc_id", "row", "n", F.coalesce("root", "class").alias("root"))
+
+
+def join(docs: DataFrame, **options) -> DataFrame:
+    """(doc_id, n_shingles, component_id, component_size) for every document."""
+    rows = settle(membership(docs, **options))
     ids = rows.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("size"))
     return rows.join(ids, "root", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("first")).alias("component_id"),
         F.coalesce("size", F.lit(1)).cast("bigint").alias("component_size"))
+
+
+def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` with one document of each component, the one of smallest id, unchanged.
+
+    Documents without words all stay; rows that agree in id and text count as one document.
+    """
+    rows = membership(docs, doc_id=doc_id, text=text, **options)
+    kept = rows.groupBy(F.coalesce("root", "row").alias("root")).agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")).select(F.col("first.row").alias("_kept"))
+    keyed = docs.withColumn("_row", row_key(doc_id, text))
+    return keyed.join(kept, F.col("_row") == F.col("_kept"), "left_semi").dropDuplicates(["_row"]).select(*docs.columns)

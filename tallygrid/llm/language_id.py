@@ -144,6 +144,17 @@ def fit(docs: DataFrame, learn_from: Column, *, per_language: int = 400, doc_id:
     return train([texts[i] for i in order], [labels[i] for i in order], **options) if texts else None
 
 
+def judge(model: Model | None, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Language, calibrated confidence and rejection of each text."""
+    letters = np.array([bool(x and _any_letter.search(x)) for x in texts.to_pylist()], bool)
+    if model is None:
+        return [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
+    sure = model.confidences(Bytes(texts))
+    score = np.where(letters, sure.max(axis=1), 0.0)
+    names = [model.languages[b] if ok else UNDETERMINED for b, ok in zip(sure.argmax(axis=1).tolist(), letters.tolist())]
+    return names, score, ~letters | (score < model.reject_below)
+
+
 def predict(docs: DataFrame, model: Model | None, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score, rejected) for every row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -152,18 +163,21 @@ def predict(docs: DataFrame, model: Model | None, *, doc_id: str = "doc_id", tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for part in slices(batches):
-            column = part.column(1)
-            letters = np.array([bool(x and _any_letter.search(x)) for x in column.to_pylist()], bool)
-            if model is None:
-                best, score = np.full(part.num_rows, -1), np.zeros(part.num_rows)
-            else:
-                sure = model.confidences(Bytes(column))
-                best, score = sure.argmax(axis=1), sure.max(axis=1)
-            names = [model.languages[b] if ok and model else UNDETERMINED for b, ok in zip(best.tolist(), letters.tolist())]
-            score = np.where(letters, score, 0.0)
-            refused = ~letters | (score < (model.reject_below if model else 1.0))
+            names, score, refused = judge(model, part.column(1))
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(names, pa.string()), pa.array(score, pa.float64()), pa.array(refused)],
                 names=["doc_id", "lang_pred", "score", "rejected"])
 
     return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
+
+
+def accept(docs: DataFrame, model: Model | None, *, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the model does not reject, unchanged."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, text):
+            _, _, refused = judge(shared.value, part.column(part.schema.get_field_index(text)))
+            yield part.filter(pa.array(~refused))
+
+    return docs.mapInArrow(run, docs.schema)
