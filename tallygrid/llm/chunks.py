@@ -14,6 +14,7 @@ on the order of its documents, so answers fit after lost executors too.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -53,8 +54,9 @@ def blocks(chunk: int, stage: int, keys: np.ndarray, columns: list[np.ndarray],
 
 
 def ask(rows: DataFrame, fn: Callable[[pa.Table, int, list[np.ndarray]], pa.Table],
-        answers: DataFrame | None = None, schema: str = BLOCK) -> DataFrame:
-    """Run ``fn(documents, chunk, answers by stage)`` for every chunk."""
+        answers: DataFrame | None = None, schema: str = BLOCK,
+        plain: Callable[[int, list[np.ndarray]], list[np.ndarray]] | None = None) -> DataFrame:
+    """Run ``fn(documents, chunk, answers by stage)`` for every chunk; ``plain(stage, columns)`` decodes a block."""
 
     def alone(table: pa.Table) -> pa.Table:
         return fn(table, table.column("chunk")[0].as_py(), [])
@@ -66,7 +68,7 @@ def ask(rows: DataFrame, fn: Callable[[pa.Table, int, list[np.ndarray]], pa.Tabl
             got.setdefault(stage, []).append((bucket, data))
         if not table.num_rows:
             raise ValueError("an answer for a chunk without documents")
-        parts = [unpack_all([d for _, d in sorted(got.get(s, []))]) for s in range(max(got, default=-1) + 1)]
+        parts = [unpack_all([d for _, d in sorted(got.get(s, []))], plain and partial(plain, s)) for s in range(max(got, default=-1) + 1)]
         return fn(table, table.column("chunk")[0].as_py(), parts)
 
     if answers is None:
@@ -74,9 +76,9 @@ def ask(rows: DataFrame, fn: Callable[[pa.Table, int, list[np.ndarray]], pa.Tabl
     return rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(answered, schema)
 
 
-def unpack_all(blobs: list[bytes]) -> list[np.ndarray]:
+def unpack_all(blobs: list[bytes], plain: Callable | None = None) -> list[np.ndarray]:
     """Columns of several blocks, end to end."""
-    parts = [unpack(b) for b in blobs]
+    parts = [plain(unpack(b)) if plain else unpack(b) for b in blobs]
     return [np.concatenate(c) for c in zip(*parts)] if parts else []
 
 

@@ -193,3 +193,12 @@ def planes(keys: np.ndarray) -> np.ndarray:
 
 def from_planes(data: np.ndarray) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(data.reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def byte_planes(values: np.ndarray) -> np.ndarray:
+    """Small numbers byte by byte of equal rank."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T).ravel()
+
+
+def from_byte_planes(data: np.ndarray, kind: type) -> np.ndarray:
+    return np.ascontiguousarray(data.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()

@@ -65,19 +65,26 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(out, -60, 60)))
 
 
-def log_count_ratios(counts: np.ndarray, sizes: np.ndarray, alpha: float = 2.0) -> np.ndarray:
-    """Log of the two classes' n-gram shares; smoothing follows class sizes, so unseen n-grams get 0."""
+def log_count_ratios(counts: np.ndarray, sizes: np.ndarray, alpha: float = 2.0, deviations: float = 3.0) -> np.ndarray:
+    """Log of the two classes' n-gram shares; smoothing follows class sizes, so unseen n-grams get 0.
+
+    A ratio counts as 0 too while the toxic count is within ``deviations`` standard
+    deviations of what independence would give: chance ratios of rare n-grams would
+    otherwise fit the training texts and nothing else.
+    """
     share = sizes / sizes.sum()
     smooth = (counts + alpha * share[:, None]) / (sizes + alpha * share)[:, None]
-    return np.log(smooth[1] / smooth[0]).astype(np.float32)
+    expected = counts.sum(axis=0) * share[1]
+    apart = np.abs(counts[1] - expected) / np.sqrt(expected * share[0] + 0.5)
+    return np.where(apart >= deviations, np.log(smooth[1] / smooth[0]), 0).astype(np.float32)
 
 
-def fit_weights(features: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray, *, epochs: int = 5,
+def fit_weights(features: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray, *, epochs: int = 8,
                 rate: float = 0.1, decay: float = 1e-6, seed: int = 3) -> Model:
     weight, spread = np.zeros(BUCKETS, np.float32), np.zeros(BUCKETS, np.float32)
     bias, bias_spread = 0.0, 1e-6
     rng = np.random.default_rng(seed)
-    importance = len(labels) / (2 * np.maximum(np.bincount(labels, minlength=2), 1))
+    importance = np.sqrt(len(labels) / (2 * np.maximum(np.bincount(labels, minlength=2), 1)))
     for _ in range(epochs):
         for i in rng.permutation(len(features)):
             grams = features[i]
