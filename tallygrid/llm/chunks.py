@@ -44,6 +44,11 @@ def bucket_bounds(keys: np.ndarray, buckets: int) -> np.ndarray:
     return np.searchsorted(own, np.arange(buckets + 1, dtype=np.uint64))
 
 
+def key_bits(buckets: int) -> int:
+    """Leading hash bits that tell the keys of a bucket apart: about one in 8,000 of a full bucket meets another one."""
+    return min(48, 34 + (buckets - 1).bit_length())
+
+
 def blocks(chunk: int, stage: int, keys: np.ndarray, columns: list[np.ndarray], buckets: int) -> pa.Table:
     """Blocks of a chunk's sorted keys and their columns, one per bucket that gets any."""
     at = bucket_bounds(keys, buckets)

@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.scale import settle
 from . import chunks as ch
 from .rows import row_key
-from .textkit import IS_SPACE, Bytes, from_planes, pack, planes, shingle_hash, slices, span_hash, unpack
+from .textkit import IS_SPACE, Bytes, byte_planes, from_byte_planes, from_planes, pack, planes, shingle_hash, slices, span_hash, unpack
 
 WIDTH = 5
 #: Links have 100 * intersection >= PERCENT * union.
@@ -78,15 +78,17 @@ def sets_with_index(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCE
     """
     rows, buckets = ch.dealt(docs.withColumn("row", row_key(doc_id, text)), doc_id=doc_id, text=text, chunk_bytes=chunk_bytes,
                              bucket_bytes=bucket_bytes, more=("row",))
+    # frequencies are those of leading bits: a shingle that meets another one there only looks less rare
+    cut = np.uint64(64 - ch.key_bits(buckets))
 
     def chunk_sets(table: pa.Table) -> list[np.ndarray]:
         return [s for part in slices(ch.parts_of(table)) for s in shingle_sets(part.column(1), width)]
 
     def ask(table: pa.Table, chunk: int, _: list) -> pa.Table:
-        keys, count = np.unique(np.concatenate(chunk_sets(table)), return_counts=True)
-        at = ch.bucket_bounds(keys, buckets)
+        keys, count = np.unique(np.concatenate(chunk_sets(table)) >> cut, return_counts=True)
+        at = ch.bucket_bounds(keys << cut, buckets)
         used = np.flatnonzero(np.diff(at))
-        data = [pack(planes(keys[at[b]:at[b + 1]]), count[at[b]:at[b + 1]].astype(np.uint32)) for b in used]
+        data = [pack(planes(keys[at[b]:at[b + 1]]), byte_planes(count[at[b]:at[b + 1]].astype(np.uint32))) for b in used]
         n = len(used)
         return pa.Table.from_pydict({"bucket": pa.array(used, pa.int32()), "chunk": pa.array([chunk] * n, pa.int32()),
                                      "stage": pa.array([0] * n, pa.int32()), "data": pa.array(data, pa.binary())})
@@ -95,14 +97,14 @@ def sets_with_index(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCE
         parts = [unpack(x.as_py()) for x in table.column("data")]
         keys = [from_planes(p[0]) for p in parts]
         _, place = np.unique(np.concatenate(keys), return_inverse=True)
-        level = _level(np.bincount(place, np.concatenate([p[1] for p in parts])))[place]
+        level = _level(np.bincount(place, np.concatenate([from_byte_planes(p[1], np.uint32) for p in parts])))[place]
         ends = np.cumsum([len(k) for k in keys])
         data = [pack(level[e - len(k):e]) for k, e in zip(keys, ends)]
         return table.set_column(table.schema.get_field_index("data"), "data", pa.array(data, pa.binary()))
 
     def index(table: pa.Table, chunk: int, answers: list) -> pa.Table:
         sets = chunk_sets(table)
-        keys = np.unique(np.concatenate(sets))
+        keys = np.unique(np.concatenate(sets) >> cut)
         level = answers[0][0] if answers and answers[0] else np.zeros(0, np.uint8)
         out, known = {c: [] for c in ("class", "n", "tokens", "shorts", "bits", "members")}, set()
         for s in sets:
@@ -111,7 +113,7 @@ def sets_with_index(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCE
             tokens = bits = members = shorts = None
             if n and name not in known:
                 known.add(name)
-                own = level[np.searchsorted(keys, s)]
+                own = level[np.searchsorted(keys, s >> cut)]
                 order = np.argsort(own, kind="stable")[:n - ceil(percent * n / 100) + 1]
                 shared = own[order] > 0
                 if shared.any():
@@ -131,8 +133,8 @@ def sets_with_index(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCE
                                         "bits array<bigint>, members binary")
 
 
-def verified(pairs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The (a, b) pairs whose whole sets link."""
+def verified(pairs: DataFrame, members: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The (a, b) pairs whose whole sets link; ``members`` has (class, members)."""
 
     def run(batches):
         for batch in batches:
@@ -143,8 +145,8 @@ def verified(pairs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> Da
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    left = classes.select(F.col("class").alias("a"), F.col("members").alias("x"))
-    right = classes.select(F.col("class").alias("b"), F.col("members").alias("y"))
+    left = members.select(F.col("class").alias("a"), F.col("members").alias("x"))
+    right = members.select(F.col("class").alias("b"), F.col("members").alias("y"))
     return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a string, b string")
 
 
@@ -183,7 +185,7 @@ def _own_bits(x: Column) -> Column:
     return F.aggregate(F.transform(x, F.bit_count), F.lit(0), lambda s, c: s + c)
 
 
-def groups_of(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
+def groups_of(classes: DataFrame, members: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(class, group): classes gathered around smaller ones they link with; a group is connected."""
     entries = classes.select("class", "n", F.explode("tokens").alias("token"))
     heads = entries.groupBy("token").agg(F.min(F.struct("n", "class")).alias("head"), F.count(F.lit(1)).alias("size")) \
@@ -192,14 +194,14 @@ def groups_of(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
         (F.col("head.class") != F.col("class")) & (100 * F.col("head.n") >= percent * F.col("n"))) \
         .groupBy("class", "head").agg(F.count(F.lit(1)).alias("shared")) \
         .groupBy("class").agg(F.max(F.struct("shared", (-F.col("head.n")).alias("size"), F.col("head.class").alias("a"))).alias("best"))
-    links = verified(picked.select(F.col("best.a").alias("a"), F.col("class").alias("b")), classes, percent)
+    links = verified(picked.select(F.col("best.a").alias("a"), F.col("class").alias("b")), members, percent)
     alone = classes.select(F.col("class").alias("b"))
     # a pointer goes to a smaller (size, class) pair, so pointers have no cycles
     return followed(alone.join(links, "b", "left").select(F.col("b").alias("node"), F.coalesce("a", "b").alias("root"))) \
         .select(F.col("node").alias("class"), F.col("root").alias("group"))
 
 
-def links_between(classes: DataFrame, groups: DataFrame, percent: int = PERCENT) -> DataFrame:
+def links_between(classes: DataFrame, members: DataFrame, groups: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Verified (a, b) links between classes of different groups."""
     own = classes.join(groups, "class").select("class", "group", "n", "shorts", "tokens", "bits")
     entries = own.select("class", "group", "n", "shorts", F.posexplode("tokens").alias("i", "token")) \
@@ -231,15 +233,17 @@ def links_between(classes: DataFrame, groups: DataFrame, percent: int = PERCENT)
         .join(bits.select(F.col("class").alias("b"), F.col("n").alias("bn"), F.col("bits").alias("y")), "b")
     both = _shared_bits(F.col("x"), F.col("y"))
     top = F.least(both + F.col("an") - _own_bits(F.col("x")), both + F.col("bn") - _own_bits(F.col("y")))
-    return verified(bounded.where((100 + percent) * top >= percent * (F.col("an") + F.col("bn"))), classes, percent)
+    return verified(bounded.where((100 + percent) * top >= percent * (F.col("an") + F.col("bn"))), members, percent)
 
 
 def membership(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCENT, **columns) -> DataFrame:
     """(doc_id, row, n, root) for every document; ``root`` names its component, null for an empty set."""
     sets = settle(sets_with_index(docs, width=width, percent=percent, **columns))
-    classes = settle(sets.where(F.col("tokens").isNotNull()).dropDuplicates(["class"]).drop("doc_id", "row"))
-    groups = settle(groups_of(classes, percent))
-    across = settle(links_between(classes, groups, percent))
+    indexed = sets.where(F.col("tokens").isNotNull())
+    classes = settle(indexed.select("class", "n", "tokens", "shorts", "bits").dropDuplicates(["class"]))
+    members = indexed.select("class", "members").dropDuplicates(["class"])
+    groups = settle(groups_of(classes, members, percent))
+    across = settle(links_between(classes, members, groups, percent))
     named = groups.select(F.col("class").alias("a"), F.col("group").alias("ga"))
     other = groups.select(F.col("class").alias("b"), F.col("group").alias("gb"))
     joined = components(across.join(named, "a").join(other, "b").select(F.col("ga").alias("a"), F.col("gb").alias("b")))
