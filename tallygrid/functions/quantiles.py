@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .scale import attach, checked_broadcast
+from .scale import attach, settle
 
 ACCURACY = 100_000
 
@@ -34,7 +34,7 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[fl
         F.count(x).alias("n"),
         F.percentile_approx(x, marks, accuracy).alias("_marks"),
         *extra)
-    summary = checked_broadcast(first_pass)
+    summary = settle(first_pass)
     m = len(probs)
     whole = F.col("n") <= accuracy
     # one artificial bracket over everything for small groups
@@ -44,7 +44,7 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[fl
 
     rows = df.where(x.isNotNull()).select(*keys, x.alias("_x"))
     if keys:
-        placed = attach(rows, F.broadcast(bounds) if _is_small(summary, first_pass) else bounds, keys)
+        placed = attach(rows, bounds, keys)
     else:
         one = bounds.select(F.struct("n", "_lo", "_hi").alias("b")).scalar()
         placed = rows.withColumn("_b", one).select("_x", "_b.n", "_b._lo", "_b._hi")
@@ -94,7 +94,3 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[fl
     if keys:
         return attach(kept, q, keys, "left")
     return kept.withColumn("q", q.scalar())
-
-
-def _is_small(summary: DataFrame, first_pass: DataFrame) -> bool:
-    return summary is not first_pass

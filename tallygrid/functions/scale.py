@@ -1,6 +1,5 @@
 """Building blocks that keep every task bounded, whatever the key distribution.
 
-* ``checked_broadcast``  - broadcast a table only after its row count was seen.
 * ``settle``             - cut lineage with a reliable checkpoint.
 * ``number_rows``        - consecutive numbers without a single-task window.
 * ``windowed``           - window functions that split oversized groups.
@@ -8,38 +7,20 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec, functions as F
 
-BROADCAST_ROWS = 100_000
 HOT_ROWS = 2_000_000
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Run ``df`` once; if it has at most ``max_rows`` rows return it as a broadcast table.
-
-    Beyond the bound the input comes back unhinted and the join shuffles (AQE
-    splits skewed partitions there).
-    """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only in local mode."""
+    """The folder in ``spark.checkpoint.dir``; where that is unset, one inside the warehouse, which executors share too."""
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="tallygrid-checkpoint-")
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints"
     sc.setCheckpointDir(folder)
     return folder
 
@@ -79,7 +60,7 @@ def number_rows(df: DataFrame, order: Sequence[Column], partition: Sequence[str]
         .orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     runs = runs.select("_task", *partition, "_first",
                        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
-    joined = attach(tagged, checked_broadcast(runs), ["_task", *partition])
+    joined = attach(tagged, runs, ["_task", *partition])
     return (joined.withColumn(out, F.col("_slot") - F.col("_first") + F.col("_offset") + 1)
             .drop("_slot", "_task", "_first", "_offset"))
 
@@ -108,7 +89,7 @@ def windowed(df: DataFrame, partition: Sequence[str], order: Sequence[str],
     if not some:
         return cold_path(df)
 
-    hot = checked_broadcast(hot)
+    hot = settle(hot)
     flagged = attach(df, hot.withColumn("_hot", F.lit(True)), partition, "left")
     cold = flagged.where(F.col("_hot").isNull()).drop("_hot")
     large = flagged.where(F.col("_hot")).drop("_hot")

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.columns import count_if, percent, ratio, unpivot_values
-from ..functions.scale import checked_broadcast, settle
+from ..functions.scale import settle
 from ..functions.vectors import as_array, matrix
 from .profile import ranked
 
@@ -39,22 +39,17 @@ def tree_samples(df: DataFrame, key: str, features: str, trees: int, sample: int
                  seed: int) -> DataFrame:
     """(tree_id, v): about 1.5 * sample candidate rows per tree, cut to the first ``sample`` by hash.
 
-    A hash threshold first keeps a pool whose size does not grow with the table;
-    only the pool meets the tree list, so the work past the scan is constant.
+    A hash threshold first keeps a pool whose size does not grow with the table, and
+    each pool row names its trees by its own hashes, so the work past the scan is constant.
     """
     n = df.count()
     rows = df.select(F.col(key).cast("string").alias("k"), as_array(df, features).alias("v"))
-    pool = trees * sample
-    if n > pool:
-        share = 1.25 * pool / n
-        rows = rows.where(_unit_hash(F.lit(seed), F.lit("pool"), "k") < 2 * share - 1)
-        rows = settle(rows)
-        n = rows.count()
+    pool = min(1.0, 1.25 * trees * sample / max(n, 1))
+    rows = settle(rows.where(_unit_hash(F.lit(seed), F.lit("pool"), "k") <= 2 * pool - 1))
+    n = rows.count()
     share = min(1.0, 1.5 * sample / max(n, 1) + 16 * math.sqrt(sample) / max(n, 1))
-    drawn = rows.withColumn("tree_id", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    drawn = drawn.withColumn("h", F.xxhash64(F.lit(seed), "tree_id", "k"))
-    if share < 1.0:
-        drawn = drawn.where(F.col("h") / F.lit(_SPACE) < 2 * share - 1)
+    own = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: _unit_hash(F.lit(seed), t, "k") <= 2 * share - 1)
+    drawn = rows.withColumn("tree_id", F.explode(own)).withColumn("h", F.xxhash64(F.lit(seed), "tree_id", "k"))
     place = F.row_number().over(Window.partitionBy("tree_id").orderBy("h", "k"))
     return drawn.withColumn("place", place).where(F.col("place") <= sample)
 
@@ -187,5 +182,5 @@ def top_anomalies(scored: DataFrame, df: DataFrame, key: str, drivers: Sequence[
     """The ``n`` highest scores with their driver columns."""
     top = scored.orderBy(F.desc("anomaly_score"), key).limit(n).select(key, "anomaly_score")
     placed = ranked(top, F.desc("anomaly_score"), F.col(key))
-    return df.select(key, *drivers).join(checked_broadcast(placed), key).select(
+    return df.select(key, *drivers).join(placed, key).select(
         "rank", key, "anomaly_score", *drivers)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -15,17 +14,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.columns import count_if, percent, ratio, unpivot_values
 from ..functions.quantiles import quantiles
-from ..functions.scale import checked_broadcast, settle
 from ..functions.vectors import as_array, as_vector, lists, matrix
 from .features import inverse_scale
 from .profile import ranked
-from .splits import mark_first_by_hash
-
-MAX_CLUSTERS = 10_000
-BLOCK_ROWS = 2048
-# Beyond this many rows the pairwise silhouette is refused: its work is quadratic.
-PAIRWISE_ROWS = 200_000
-
 
 # ---------------------------------------------------------------- fitting
 
@@ -53,19 +44,12 @@ def cluster_assignments(model: KMeansModel, df: DataFrame, key: str, target: str
     return model.transform(rows).select(key, F.col("prediction").alias("cluster"), target)
 
 
-def _bounded(df: DataFrame, limit: int, what: str) -> list:
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} {what}")
-    return rows
-
-
 def nearest_centroid(df: DataFrame, key: str, vector: str, centroids: DataFrame) -> DataFrame:
     """Closest centroid per row; ties go to the smaller cluster id.
 
-    ``centroids`` is (cluster, center); its size is checked before it is shipped.
+    ``centroids`` is (cluster, center), a model that every task receives.
     """
-    rows = sorted(_bounded(centroids.select("cluster", "center"), MAX_CLUSTERS, "centroids"))
+    rows = sorted(centroids.select("cluster", "center").collect())
     ids = np.array([r[0] for r in rows])
     centers = np.array([list(r[1]) for r in rows], dtype="float64")
     key_type = df.schema[key].dataType.simpleString()
@@ -99,58 +83,26 @@ def cluster_means(df: DataFrame, vector: str, cluster: str) -> DataFrame:
 
 
 def inertia(df: DataFrame, vector: str, cluster: str) -> DataFrame:
-    """Within-cluster sum of squares per cluster and in total.
-
-    Distances to the cluster means are summed inside each Arrow batch, so only
-    one row per batch and cluster is shuffled.
-    """
-    rows = sorted(_bounded(cluster_means(df, vector, cluster).where(F.col("cluster").isNotNull()),
-                           MAX_CLUSTERS, "clusters"))
-    slot = {r["cluster"]: i for i, r in enumerate(rows)}
-    centers = np.array([list(r["center"]) for r in rows])
-    names = [str(r["cluster"]) for r in rows]
-
-    def partial(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            who = np.array([slot[c] for c in batch.column(0).to_pylist()])
-            d = ((matrix(batch.column(1)) - centers[who]) ** 2).sum(axis=1)
-            sums = np.bincount(who, weights=d, minlength=len(names))
-            seen = np.unique(who)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([names[i] for i in seen]), pa.array(sums[seen])], names=["cluster", "part"])
-
-    parts = df.where(F.col(cluster).isNotNull()).select(cluster, as_array(df, vector).alias("v")) \
-        .mapInArrow(partial, "cluster string, part double")
-    per = parts.groupBy("cluster").agg(F.sum("part").alias("sum_sq"))
-    return per.unionByName(parts.agg(F.sum("part").alias("sum_sq")).select(
-        F.lit("total").alias("cluster"), "sum_sq"))
+    """Within-cluster sum of squares per cluster and in total, for any number of clusters."""
+    rows = df.select(F.col(cluster).alias("cluster"), as_array(df, vector).alias("v")).where(F.col("cluster").isNotNull())
+    gap = F.zip_with("v", "center", lambda a, b: (a - b) * (a - b))
+    per = rows.join(cluster_means(df, vector, cluster).select("cluster", "center"), "cluster") \
+        .groupBy(F.col("cluster").cast("string").alias("cluster")) \
+        .agg(F.sum(F.aggregate(gap, F.lit(0.0), lambda s, x: s + x)).alias("sum_sq"))
+    return per.unionByName(per.agg(F.sum("sum_sq").alias("sum_sq")).select(F.lit("total").alias("cluster"), "sum_sq"))
 
 
 # ---------------------------------------------------------------- silhouette
 
-def silhouette(df: DataFrame, key: str, vector: str, cluster: str, sample: int | None = None,
-               metric: str = "euclidean") -> DataFrame:
-    """Mean silhouette per cluster and overall.
+def silhouette(df: DataFrame, key: str, vector: str, cluster: str) -> DataFrame:
+    """Mean silhouette of squared Euclidean distances, per cluster and overall.
 
-    ``euclidean`` is exact and needs every distance: rows are packed into blocks
-    and each block pair is one numpy product that leaves per-row sums, never
-    pairs. The work is quadratic, so it is refused beyond ``PAIRWISE_ROWS``. For
-    larger tables use ``sqeuclidean``, exact for squared distances in two linear
-    passes over all rows, or ask for a ``sample`` (the first rows in hash order),
-    as the measure itself allows.
+    Exact over all rows in two linear passes: a row's mean squared distance to a
+    cluster follows from that cluster's size, mean and variance.
     """
     rows = df.select(F.col(key).alias("key"), F.col(cluster).alias("cluster"),
                      as_array(df, vector).alias("v")).where(F.col("cluster").isNotNull())
-    if sample is not None:
-        rows = mark_first_by_hash(rows, "key", sample).where("chosen").drop("chosen")
-    if metric == "sqeuclidean":
-        scored = _silhouette_squared(rows)
-    elif metric == "euclidean":
-        scored = _silhouette_blocks(rows)
-    else:
-        raise ValueError(f"unknown metric {metric}")
+    scored = _silhouette_squared(rows)
     per = scored.groupBy(F.col("cluster").cast("string").alias("cluster")).agg(
         F.count(F.lit(1)).alias("n"), F.avg("s").alias("silhouette"))
     return per.unionByName(scored.agg(
@@ -171,18 +123,14 @@ def _score(sums: np.ndarray, own: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.where((sizes[own] == 1) | np.isinf(b), 0.0, s)
 
 
-def _cluster_sizes(rows: DataFrame) -> list:
-    return sorted(_bounded(rows.groupBy("cluster").count(), MAX_CLUSTERS, "clusters"))
-
-
 def _silhouette_squared(rows: DataFrame) -> DataFrame:
     """Mean squared distance to a cluster follows from its size, mean and sum of squares."""
     from pyspark.ml.functions import vector_to_array
 
     vec = rows.select("cluster", as_vector(rows, "v").alias("x"))
-    stats = sorted(_bounded(vec.groupBy("cluster").agg(
+    stats = sorted(vec.groupBy("cluster").agg(
         F.count(F.lit(1)).alias("n"), vector_to_array(Summarizer.mean(F.col("x"))).alias("m"),
-        vector_to_array(Summarizer.variance(F.col("x"))).alias("s")), MAX_CLUSTERS, "clusters"))
+        vector_to_array(Summarizer.variance(F.col("x"))).alias("s")).collect())
     slot = {r["cluster"]: i for i, r in enumerate(stats)}
     sizes = np.array([r["n"] for r in stats], dtype="float64")
     means = np.array([list(r["m"]) for r in stats])
@@ -203,86 +151,29 @@ def _silhouette_squared(rows: DataFrame) -> DataFrame:
     return rows.select("cluster", "v").mapInArrow(score, f"cluster {kind}, s double")
 
 
-def _silhouette_blocks(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    counts = _cluster_sizes(rows)
-    total = sum(r["count"] for r in counts)
-    if total > PAIRWISE_ROWS:
-        raise ValueError(f"{total} rows: use metric='sqeuclidean' or a sample")
-    blocks = max(1, -(-total // block_rows))
-    slot = {r["cluster"]: i for i, r in enumerate(counts)}
-    sizes = np.array([r["count"] for r in counts], dtype="float64")
-    k = len(counts)
-    code = F.create_map(*[F.lit(x) for c, i in slot.items() for x in (c, i)]) if k else None
-    if not k:
-        return rows.select("cluster", F.lit(None).cast("double").alias("s"))
-
-    # blocks of about block_rows rows each, by the hash of a fixed row number: bounded groups
-    packed = settle(
-        rows.select("cluster", code[F.col("cluster")].alias("c"), "v")
-        .withColumn("id", F.monotonically_increasing_id()))
-    packed = packed.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-    folded = packed.groupBy("b").agg(F.collect_list(F.struct("id", "c", "v")).alias("rows"))
-    left = folded.select(F.col("b").alias("lb"), F.col("rows").alias("left")) \
-        .withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    pairs = left.join(folded.select(F.col("b").alias("rb"), F.col("rows").alias("right")), "rb") \
-        .select("left", "right")
-
-    def sums(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                a, b = batch.column(0)[i].values, batch.column(1)[i].values
-                x, y = matrix(a.field("v")), matrix(b.field("v"))
-                hot = np.zeros((len(y), k))
-                hot[np.arange(len(y)), b.field("c").to_numpy()] = 1.0
-                sq = (x ** 2).sum(1)[:, None] + (y ** 2).sum(1)[None, :] - 2 * x @ y.T
-                d = np.sqrt(np.maximum(sq, 0))
-                d[a.field("id").to_numpy()[:, None] == b.field("id").to_numpy()[None, :]] = 0.0
-                yield pa.RecordBatch.from_arrays(
-                    [a.field("id"), lists(d @ hot)], names=["id", "part"])
-
-    parts = pairs.mapInArrow(sums, "id bigint, part array<double>")
-    per_row = parts.groupBy("id").agg(*[F.sum(F.col("part")[j]).alias(f"p{j}") for j in range(k)])
-    joined = packed.select("id", "cluster", "c").join(per_row, "id").select(
-        "cluster", "c", F.array(*[f"p{j}" for j in range(k)]).alias("sums"))
-    kind = rows.schema["cluster"].dataType.simpleString()
-
-    def finish(batches):
-        for batch in batches:
-            if batch.num_rows:
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(_score(matrix(batch.column(2)).copy(),
-                                                      batch.column(1).to_numpy(), sizes))],
-                    names=["cluster", "s"])
-
-    return joined.mapInArrow(finish, f"cluster {kind}, s double")
-
-
 def overall_silhouette(scores: DataFrame) -> float | None:
     return scores.where("cluster = 'overall'").first()["silhouette"]
 
 
 def k_sweep(df: DataFrame, key: str, features: str, ks: Sequence[int] = tuple(range(2, 11)),
-            restarts: int = 20, seed: int = 42, metric: str = "euclidean",
-            sample: int | None = None) -> DataFrame:
-    """Inertia, its change, silhouette and seconds per k, and whether inertia ever rises."""
+            restarts: int = 20, seed: int = 42) -> DataFrame:
+    """Inertia, its change and silhouette per k, and whether inertia ever rises."""
     rows = df.select(key, as_vector(df, features).alias("features")).persist()
     out = []
     try:
         for k in ks:
-            start = time.perf_counter()
             model, _ = kmeans_fit(rows, "features", k, restarts, seed)
-            seconds = time.perf_counter() - start
             labelled = model.transform(rows).select(key, "features", "prediction")
-            score = overall_silhouette(silhouette(labelled, key, "features", "prediction", sample, metric))
-            out.append((int(k), float(model.summary.trainingCost), score, seconds))
+            score = overall_silhouette(silhouette(labelled, key, "features", "prediction"))
+            out.append((int(k), float(model.summary.trainingCost), score))
     finally:
         rows.unpersist()
-    table = df.sparkSession.createDataFrame(out, "k int, inertia double, silhouette double, seconds double")
+    table = df.sparkSession.createDataFrame(out, "k int, inertia double, silhouette double")
     whole = Window.partitionBy(F.lit(0))
     change = F.col("inertia") - F.lag("inertia").over(whole.orderBy("k"))
     return (table.withColumn("inertia_change", change)
             .withColumn("never_rises", F.coalesce(F.max("inertia_change").over(whole) <= 1e-8, F.lit(True)))
-            .select("k", "inertia", "inertia_change", "silhouette", "seconds", "never_rises"))
+            .select("k", "inertia", "inertia_change", "silhouette", "never_rises"))
 
 
 # ---------------------------------------------------------------- sizes and profiles
@@ -456,28 +347,20 @@ def ward_fit(df: DataFrame, key: str, features: str, k: int = 2, micro: int = 50
              seed: int = 42) -> WardFit:
     """Ward on at most ``micro`` centroids.
 
-    With more rows than that, a distributed K-Means first condenses them, so
-    the driver sees ``micro`` centroids and never the rows.
+    A distributed K-Means first condenses the rows, so the driver sees ``micro``
+    centroids and never the rows.
     """
     rows = df.select(key, as_array(df, features).alias("v"))
-    few = rows.orderBy(key).limit(micro + 1).collect()
-    if len(few) <= micro:
-        centers = np.array([list(r["v"]) for r in few], dtype="float64")
-        sizes = np.ones(len(few))
-        places = df.sparkSession.createDataFrame(
-            [(r[key], i) for i, r in enumerate(few)],
-            f"`{key}` {df.schema[key].dataType.simpleString()}, micro int")
-    else:
-        model, _ = kmeans_fit(rows, "v", micro, restarts=1, seed=seed, max_iter=20)
-        placed = model.transform(rows.select(key, as_vector(rows, "v").alias("features")))
-        places = placed.select(key, F.col("prediction").alias("micro"))
-        counts = {r["micro"]: r["count"] for r in places.groupBy("micro").count().collect()}
-        centers = np.array(model.clusterCenters())
-        sizes = np.array([counts.get(i, 0) for i in range(len(centers))], dtype="float64")
-        keep = np.flatnonzero(sizes > 0)
-        centers, sizes = centers[keep], sizes[keep]
-        slot = F.array(*[F.lit(int(np.searchsorted(keep, i))) for i in range(int(keep.max()) + 1)])
-        places = places.select(key, slot[F.col("micro")].alias("micro"))
+    model, _ = kmeans_fit(rows, "v", micro, restarts=1, seed=seed, max_iter=20)
+    placed = model.transform(rows.select(key, as_vector(rows, "v").alias("features")))
+    places = placed.select(key, F.col("prediction").alias("micro"))
+    counts = {r["micro"]: r["count"] for r in places.groupBy("micro").count().collect()}
+    centers = np.array(model.clusterCenters())
+    sizes = np.array([counts.get(i, 0) for i in range(len(centers))], dtype="float64")
+    keep = np.flatnonzero(sizes > 0)
+    centers, sizes = centers[keep], sizes[keep]
+    slot = F.array(*[F.lit(int(np.searchsorted(keep, i))) for i in range(int(keep.max()) + 1)])
+    places = places.select(key, slot[F.col("micro")].alias("micro"))
     merges = ward_merges(centers, sizes)
     return WardFit(merges, cut_merges(len(centers), merges, k), places, key)
 
@@ -559,14 +442,14 @@ def common_variables(rank_a: DataFrame, rank_b: DataFrame, n: int = 10) -> DataF
 
 
 def method_comparison(assigns: Mapping[str, DataFrame], data: DataFrame, key: str, vector: str,
-                      target: str, metric: str = "euclidean") -> DataFrame:
+                      target: str) -> DataFrame:
     """Silhouette, agreement, sizes and profile means of two methods; one row per method."""
     (name_a, a), (name_b, b) = assigns.items()
     ari = adjusted_rand(a, b, key).select("ari").scalar()
     out = None
     for name, assign in ((name_a, a), (name_b, b)):
         rows = data.select(key, vector, target).join(assign.select(key, "cluster"), key)
-        score = silhouette(rows, key, vector, "cluster", metric=metric) \
+        score = silhouette(rows, key, vector, "cluster") \
             .where("cluster = 'overall'").select("silhouette").scalar()
         per = rows.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.avg(target).alias("mean"))
         part = per.agg(F.min("n").alias("small_size"), F.max("n").alias("large_size"),

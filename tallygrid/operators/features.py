@@ -15,7 +15,6 @@ from .profile import missing_summary
 
 # Fixed values of the preparation: the fill text for categories and its category limit.
 FILL_TEXT = "None"
-MAX_CATEGORIES = 10_000
 
 
 def band_target(df: DataFrame, col: str, edges: Sequence[float], labels: Sequence[str],
@@ -61,26 +60,29 @@ def fit_constant_impute(df: DataFrame, cols: Sequence[str], value: str = FILL_TE
 
 
 def categories(train: DataFrame, col: str) -> list[str]:
-    """Sorted category list; refuses columns whose list would not stay small."""
-    rows = train.select(col).where(F.col(col).isNotNull()).distinct() \
-        .limit(MAX_CATEGORIES + 1).collect()
-    if len(rows) > MAX_CATEGORIES:
-        raise ValueError(f"{col} has more than {MAX_CATEGORIES} categories")
-    return sorted(str(r[0]) for r in rows)
+    """Sorted category list; for columns that make dense vectors, whose width it is."""
+    return sorted(str(r[0]) for r in train.select(col).where(F.col(col).isNotNull()).distinct().collect())
 
 
 def one_hot(train: DataFrame, apply_to: DataFrame, cols: Sequence[str], key: str,
-            dense: bool = True) -> DataFrame:
+            dense: bool = False) -> DataFrame:
     """(key, feature, value) with features ``<column>_<category>`` known from train.
 
-    A category not seen in train gives zeros everywhere. ``dense=False`` keeps
-    only the ones, which is what a large table should store.
+    Only the ones are rows, found by a join with the distinct train pairs, so any
+    number of categories will do; a category not seen in train gives no row.
+    ``dense=True`` adds the zeros.
     """
+    if not dense:
+        def pairs(df: DataFrame, *more: str) -> DataFrame:
+            cells = [F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols]
+            return df.select(*more, F.inline(F.array(*cells))).where(F.col("v").isNotNull())
+        return pairs(apply_to, key).join(pairs(train).distinct(), ["c", "v"], "left_semi").select(
+            key, F.concat_ws("_", "c", "v").alias("feature"), F.lit(1).alias("value"))
     cells = [F.struct(F.lit(f"{c}_{v}").alias("feature"),
                       F.coalesce((F.col(c) == v).cast("int"), F.lit(0)).alias("value"))
              for c in cols for v in categories(train, c)]
     out = apply_to.select(key, F.inline(F.array(*cells)))
-    return out if dense else out.where(F.col("value") == 1)
+    return out
 
 
 def scale_stats(train: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -148,10 +150,6 @@ def feature_pipeline(train: DataFrame, numeric: Sequence[str], categorical: Sequ
     parts += [f"coalesce(`{c}`, '{FILL_TEXT}') AS _c{i}" for i, c in enumerate(categorical)]
     stages = [SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")]
     if categorical:
-        sizes = train.agg(*[F.approx_count_distinct(c).alias(c) for c in categorical]).first()
-        wide = [c for c in categorical if sizes[c] > MAX_CATEGORIES]
-        if wide:
-            raise ValueError(f"more than {MAX_CATEGORIES} categories: {wide}")
         indexed = [f"_i{i}" for i in range(len(categorical))]
         encoded = [f"_o{i}" for i in range(len(categorical))]
         stages += [

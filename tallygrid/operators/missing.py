@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.columns import count_if, kind_of, percent, ratio, unpivot_values
 from ..functions.quantiles import quantiles
@@ -87,11 +87,16 @@ def impute_plan(df: DataFrame, rules: Sequence[FillRule]) -> DataFrame:
 
 
 def impute_apply(df: DataFrame, plan: DataFrame) -> DataFrame:
-    """Apply a plan in one projection; the plan has at most one row per column."""
-    fills = {r["variable"]: r["fill_value"] for r in plan.select("variable", "fill_value").collect()}
-    types = {f.name: f.dataType for f in df.schema.fields}
+    """Apply a plan in one projection; the plan has at most one row per column.
+
+    A column filled by its median becomes double, since a median of whole numbers can be a half.
+    """
+    rows = plan.select("variable", "strategy", "fill_value").collect()
+    fills = {r["variable"]: r["fill_value"] for r in rows}
+    halves = {r["variable"] for r in rows if r["strategy"] == "median"}
+    types = {f.name: T.DoubleType() if f.name in halves else f.dataType for f in df.schema.fields}
     return df.select(*[
-        F.coalesce(F.col(c), F.lit(fills[c]).cast(types[c])).alias(c)
+        F.coalesce(F.col(c).cast(types[c]), F.lit(fills[c]).cast(types[c])).alias(c)
         if fills.get(c) is not None else F.col(c) for c in df.columns])
 
 

@@ -1,7 +1,7 @@
 """Tree, forest, boosted and support-vector models on Spark ML.
 
 Training tables hold a key, a vector column and the target. Every fit runs on
-the executors; a model on the driver is bounded by ``MAX_LEAVES``, tree count or
+the executors; a model on the driver is bounded by tree depth, tree count or
 weight count, never by rows.
 """
 
@@ -31,9 +31,8 @@ from .evaluate import classification_metrics
 from .features import label_encode
 from .profile import ranked
 
-# Spark's depth limit stands for "unrestricted"; the leaf bound keeps the model small.
+# Spark's depth limit stands for "unrestricted".
 MAX_DEPTH = 30
-MAX_LEAVES = 100_000
 
 
 def _plain(df: DataFrame, features: str) -> DataFrame:
@@ -41,11 +40,6 @@ def _plain(df: DataFrame, features: str) -> DataFrame:
     return df.withColumn(features, F.col(features).alias(features, metadata={}))
 
 
-def _leaf_rows(train: DataFrame) -> int:
-    """Smallest leaf that keeps a tree under MAX_LEAVES: 1 until the table exceeds it."""
-    return max(1, math.ceil(train.count() / MAX_LEAVES))
-
-
 def predictions(model, train: DataFrame, test: DataFrame, key: str, target: str,
                 features: str) -> DataFrame:
     """(key, split, actual, predicted) for both sets."""
@@ -59,10 +53,10 @@ def predictions(model, train: DataFrame, test: DataFrame, key: str, target: str,
 # ---------------------------------------------------------------- regression
 
 def fit_tree_regression(train: DataFrame, features: str, target: str, max_depth: int = MAX_DEPTH,
-                        max_bins: int = 64, seed: int = 42):
+                        max_bins: int = 64, min_leaf: int = 1, seed: int = 42):
     return DecisionTreeRegressor(
         featuresCol=features, labelCol=target, maxDepth=max_depth, maxBins=max_bins,
-        minInstancesPerNode=_leaf_rows(train), cacheNodeIds=True, checkpointInterval=-1, maxMemoryInMB=1024,
+        minInstancesPerNode=min_leaf, cacheNodeIds=True, checkpointInterval=-1, maxMemoryInMB=1024,
         seed=seed).fit(_plain(train, features))
 
 
@@ -73,10 +67,10 @@ def tree_regression(train: DataFrame, test: DataFrame, features: str, target: st
 
 
 def fit_forest_regression(train: DataFrame, features: str, target: str, trees: int = 300,
-                          max_depth: int = MAX_DEPTH, max_bins: int = 64, seed: int = 42):
+                          max_depth: int = MAX_DEPTH, max_bins: int = 64, min_leaf: int = 1, seed: int = 42):
     return RandomForestRegressor(
         featuresCol=features, labelCol=target, numTrees=trees, featureSubsetStrategy="all",
-        maxDepth=max_depth, maxBins=max_bins, minInstancesPerNode=_leaf_rows(train),
+        maxDepth=max_depth, maxBins=max_bins, minInstancesPerNode=min_leaf,
         cacheNodeIds=True, checkpointInterval=-1, maxMemoryInMB=1024, seed=seed).fit(_plain(train, features))
 
 
@@ -165,20 +159,20 @@ def _class_predictions(model, train, test, key, features, label, labels) -> Data
 
 def tree_classification(train: DataFrame, test: DataFrame, features: str, label: str,
                         labels: Sequence[str], key: str, max_depth: int = MAX_DEPTH,
-                        max_bins: int = 64, seed: int = 42) -> DataFrame:
+                        max_bins: int = 64, min_leaf: int = 1, seed: int = 42) -> DataFrame:
     model = DecisionTreeClassifier(
         featuresCol=features, labelCol="label_id", maxDepth=max_depth, maxBins=max_bins,
-        minInstancesPerNode=_leaf_rows(train), cacheNodeIds=True, checkpointInterval=-1, maxMemoryInMB=1024,
+        minInstancesPerNode=min_leaf, cacheNodeIds=True, checkpointInterval=-1, maxMemoryInMB=1024,
         seed=seed).fit(_coded(train, key, features, label, labels))
     return _class_predictions(model, train, test, key, features, label, labels)
 
 
 def forest_classification(train: DataFrame, test: DataFrame, features: str, label: str,
                           labels: Sequence[str], key: str, trees: int = 300,
-                          max_depth: int = MAX_DEPTH, max_bins: int = 64, seed: int = 42) -> DataFrame:
+                          max_depth: int = MAX_DEPTH, max_bins: int = 64, min_leaf: int = 1, seed: int = 42) -> DataFrame:
     model = RandomForestClassifier(
         featuresCol=features, labelCol="label_id", numTrees=trees, maxDepth=max_depth,
-        maxBins=max_bins, minInstancesPerNode=_leaf_rows(train), cacheNodeIds=True,
+        maxBins=max_bins, minInstancesPerNode=min_leaf, cacheNodeIds=True,
         maxMemoryInMB=1024, seed=seed).fit(_coded(train, key, features, label, labels))
     return _class_predictions(model, train, test, key, features, label, labels)
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from ..functions.columns import (count_if, kind_of, numeric_columns, percent, ratio,
                                  stack_columns, unpivot_values)
 from ..functions.quantiles import ACCURACY, quantiles
-from ..functions.scale import attach, checked_broadcast
+from ..functions.scale import attach, settle
 
 
 def shape_summary(df: DataFrame, target: str, expected_rows: int | None = None) -> DataFrame:
@@ -222,7 +222,7 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
 def box_stats(df: DataFrame, col: str, group: str) -> DataFrame:
     """Quartiles, 1.5 IQR whiskers and outlier count per group."""
     q = quantiles(df, [group], col, [0.25, 0.5, 0.75])
-    box = checked_broadcast(q.select(group, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
+    box = settle(q.select(group, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
                                      F.col("q")[2].alias("q3")))
     x = F.col(col).cast("double")
     rows = attach(df.select(group, x.alias("_x")), box, [group])

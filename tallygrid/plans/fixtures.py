@@ -9,19 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.scale import windowed
 
 
-# A local file this small is usually one row group, hence one scan task.
-SPREAD_BYTES = 1 << 19, 1 << 26
-
-
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A driver table. A small local file is hashed over the idle cores; anything
-    larger, or on a shared store, is scanned as it lies."""
-    path = os.path.join(sf, f"{name}.parquet")
-    df = spark.read.parquet(path)
-    low, high = SPREAD_BYTES
-    if os.path.isfile(path) and low <= os.path.getsize(path) < high:
-        return df.repartition(spark.sparkContext.defaultParallelism, df.columns[0])
-    return df
+    """A driver table."""
+    return spark.read.parquet(os.path.join(sf, f"{name}.parquet"))
 
 
 def _line_id() -> F.Column:

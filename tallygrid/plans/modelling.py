@@ -18,8 +18,8 @@ from .preparing import CATEGORICAL, NUMERIC
 
 KEY, TARGET, LABELS = "line_id", "charge", list(BANDS)
 # Settings that keep a registered run short; the operators default to the full ones.
-TREES, ROUNDS, EPOCHS, FOURIER = 20, 20, 12, 100
-FOREST_DEPTH, SVM_STEPS = 10, 10
+TREES, ROUNDS, EPOCHS, FOURIER = 20, 20, 12, 200
+FOREST_DEPTH, SVM_STEPS = 10, 100
 
 
 def prepared(spark, sf, scale=False):

@@ -26,6 +26,13 @@ def _imputed(spark, sf):
     return mis.impute_apply(df, mis.impute_plan(df, RULES))
 
 
+def _imputed_integer(spark, sf):
+    """Whole numbers with nulls, filled by a median that can be a half."""
+    df = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.when(F.col("l_partkey") % 7 != 0, F.col("l_suppkey")).alias("supplier"))
+    return rounded(mis.impute_apply(df, mis.impute_plan(df, [mis.FillRule("supplier", "median", "missing at random")])))
+
+
 def _consistency(spark, sf):
     df = fx.missing(spark, sf)
     amounts = F.coalesce("discount", F.lit(0.0)) + F.coalesce("tax", F.lit(0.0))
@@ -92,7 +99,7 @@ def _feature_vectors(spark, sf):
     values = vector_to_array("features")
     return feat.feature_vectors(model, rows, ["line_id"]).select(
         "line_id", F.size(values).alias("n_features"),
-        F.aggregate(F.slice(values, len(NUMERIC) + 1, 1000), F.lit(0.0), lambda a, v: a + v)
+        F.aggregate(F.slice(values, len(NUMERIC) + 1, F.size(values)), F.lit(0.0), lambda a, v: a + v)
         .alias("active_categories"))
 
 
@@ -124,6 +131,7 @@ QUERIES = {
     "impute_constant": lambda s, d: mis.impute_constant(
         fx.missing(s, d), {"tax": 0.0, "discount_code": "None", "returnflag": "Unknown"}),
     "impute_apply": lambda s, d: rounded(_imputed(s, d)),
+    "impute_apply_integer": _imputed_integer,
     "consistency_rules": _consistency,
     "missing_before_after": lambda s, d: mis.missing_before_after(*_before_after(s, d)),
     "imputation_tally": lambda s, d: mis.imputation_tally(*_before_after(s, d)),
@@ -145,6 +153,7 @@ QUERIES = {
     "target_scale": lambda s, d: rounded(_target_scale(s, d)),
     "label_encode": _label_encode,
     "feature_vectors": _feature_vectors,
+    "feature_pipeline": _feature_vectors,
     "split_random": lambda s, d: spl.split_random(table(s, d, "orders"), "o_orderkey"),
     "split_nested": _split_nested,
     "split_tail": lambda s, d: spl.split_tail(table(s, d, "orders"), "o_orderkey"),
@@ -231,6 +240,8 @@ ORACLES = {
  round(discount, 6) AS discount,
  coalesce(discount_code, CASE WHEN {_ZERO_RATIO} >= 0.9 THEN 'None' ELSE 'Unknown' END) AS discount_code,
  coalesce(returnflag, {_mode('returnflag')}) AS returnflag, coalesce(tax, 0) AS tax FROM fx_missing"""),
+    "impute_apply_integer": """WITH r AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_partkey % 7 <> 0 THEN l_suppkey END AS supplier FROM lineitem)
+SELECT l_orderkey, l_linenumber, CAST(coalesce(supplier, (SELECT quantile_cont(supplier, 0.5) FROM r)) AS DOUBLE) AS supplier FROM r""",
     "consistency_rules": with_views("fx_missing", """WITH r AS (
 SELECT 'code absent implies discount 0' AS rule, discount_code IS NULL AS p, coalesce(discount = 0, false) AS q FROM fx_missing
 UNION ALL SELECT 'code absent implies amounts 0', discount_code IS NULL, coalesce(discount, 0) + coalesce(tax, 0) = 0 FROM fx_missing
@@ -273,8 +284,8 @@ FROM r, k WHERE split = 'test'"""),
  coalesce(returnflag, 'None') AS returnflag FROM fx_missing"""),
     "one_hot": """WITH c AS (SELECT DISTINCT 'o_orderpriority' AS col, o_orderpriority AS v FROM orders WHERE o_orderpriority <> '5-LOW'
 UNION ALL SELECT DISTINCT 'o_orderstatus', o_orderstatus FROM orders WHERE o_orderpriority <> '5-LOW')
-SELECT o_orderkey, concat(col, '_', v) AS feature,
- CAST(CASE col WHEN 'o_orderpriority' THEN o_orderpriority = v ELSE o_orderstatus = v END AS INT) AS value FROM orders, c""",
+SELECT o_orderkey, concat(col, '_', v) AS feature, 1 AS value FROM orders, c
+WHERE CASE col WHEN 'o_orderpriority' THEN o_orderpriority = v ELSE o_orderstatus = v END""",
     "standard_scale": with_views("fx_split", _scaled_sql("fx_lines", ["l_quantity", "o_totalprice"], "({c} - m_{c})/s_{c}")),
     "inverse_scale": with_views("fx_split", _scaled_sql("fx_lines", ["l_quantity", "o_totalprice"], "{c}")),
     "target_scale": with_views("fx_split", """WITH k AS (SELECT avg(charge) AS m, stddev_pop(charge) AS s FROM fx_split WHERE split = 'train')
@@ -318,3 +329,4 @@ FROM fx_split, (VALUES ('low'), ('mid')) l(label) GROUP BY l.label"""),
 SELECT a.band AS majority, a.n AS majority_count, b.band AS minority, b.n AS minority_count, round(a.n/b.n::DOUBLE, 6) AS ratio
 FROM (SELECT * FROM c ORDER BY n DESC, band LIMIT 1) a, (SELECT * FROM c ORDER BY n, band LIMIT 1) b"""),
 }
+ORACLES["feature_pipeline"] = ORACLES["feature_vectors"]

@@ -45,6 +45,17 @@ def _write_verified(format):
     return run
 
 
+def _texts(spark, sf):
+    """Texts with quotes, commas and line breaks."""
+    return table(spark, sf, "documents").select("doc_id", "text")
+
+
+def _scan_csv_text(spark, sf):
+    path = scratch(spark, "text")
+    csv.write_verified(_texts(spark, sf), path, "csv")
+    return csv.scan_csv_literal(spark, path, _texts(spark, sf).schema)
+
+
 def _file_fingerprint(spark, sf):
     files = identity.file_fingerprint(spark, f"{sf}/*.parquet")
     return files.select(F.element_at(F.split("path", "/"), -1).alias("path"), "length", "sha256")
@@ -133,6 +144,8 @@ QUERIES = {
         table(s, d, "documents").select("doc_id", "source", "lang"), ["source", "lang"], ["web", "en", "NA"]),
     "write_verified": _write_verified("parquet"),
     "write_verified_csv": _write_verified("csv"),
+    "scan_csv_text": _scan_csv_text,
+    "write_verified_text": lambda s, d: csv.write_verified(_texts(s, d), scratch(s, "text"), "csv"),
     "file_fingerprint": _file_fingerprint,
     "table_fingerprint": lambda s, d: identity.table_fingerprint(table(s, d, "part")),
     "coverage_check": _coverage(identity.coverage_check),
@@ -218,6 +231,9 @@ def _q_sql(body):
     return with_views("fx_steps", "WITH " + ",\n".join(parts) + "\n" + body.format(q=f"q{SWEEPS}"))
 
 
+_CELLS = ", ".join(f"coalesce(concat(length(CAST({c} AS VARCHAR)), ':', CAST({c} AS VARCHAR)), 'n')"
+                   for c in ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"))
+
 ORACLES = {
     "scan_csv": """SELECT p_partkey, p_name, p_brand, CASE WHEN p_size % 5 = 0 THEN NULL ELSE p_type END AS p_type,
  CAST(p_size AS BIGINT) AS p_size, p_retailprice FROM part""",
@@ -229,8 +245,12 @@ ORACLES = {
  CAST(0 AS BIGINT) AS nulls_out, true AS ok FROM lineitem""",
     "write_verified_csv": """SELECT count(*) AS rows_in, count(*) AS rows_out, CAST(6 AS INT) AS cols_in, CAST(6 AS INT) AS cols_out,
  CAST(0 AS BIGINT) AS nulls_out, true AS ok FROM lineitem""",
-    "table_fingerprint": """SELECT count(*) AS rows, CAST(sum(CAST(concat('0x', substr(sha256(concat_ws(chr(31), CAST(p_partkey AS VARCHAR),
- p_name, p_brand, p_type, CAST(p_size AS VARCHAR), CAST(p_retailprice AS VARCHAR))), 1, 12)) AS BIGINT)) AS VARCHAR) AS fingerprint FROM part""",
+    "table_fingerprint": f"""SELECT count(*) AS rows, concat_ws('-', CAST(sum(CAST(concat('0x', substr(d, 1, 14)) AS BIGINT)) AS VARCHAR),
+ CAST(sum(CAST(concat('0x', substr(d, 15, 14)) AS BIGINT)) AS VARCHAR)) AS fingerprint
+FROM (SELECT sha256(concat_ws(',', {_CELLS})) AS d FROM part) p""",
+    "scan_csv_text": "SELECT doc_id, text FROM documents",
+    "write_verified_text": """SELECT count(*) AS rows_in, count(*) AS rows_out, CAST(2 AS INT) AS cols_in, CAST(2 AS INT) AS cols_out,
+ CAST(0 AS BIGINT) AS nulls_out, true AS ok FROM documents""",
     "coverage_check": """SELECT c_nationkey AS criterion, CASE WHEN count(*) FILTER (WHERE o IS NULL) = 0 THEN 'PASS' ELSE 'FAIL' END AS status,
  count(*) AS required, count(*) FILTER (WHERE o IS NULL) AS missing
 FROM customer LEFT JOIN (SELECT DISTINCT o_custkey AS o FROM orders) d ON o = c_custkey GROUP BY c_nationkey""",

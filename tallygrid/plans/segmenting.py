@@ -32,7 +32,7 @@ def _assign(spark, sf):
         parity.select(F.lit("parity").alias("method"), "vec_id", "cluster"))
 
 
-def _best_kmeans(spark, sf, k=2, restarts=3):
+def _best_kmeans(spark, sf, k=2, restarts=20):
     return clu.kmeans_fit(fx.vectors(spark, sf), "embedding", k, restarts=restarts)
 
 
@@ -87,7 +87,7 @@ def _common(spark, sf):
 def _methods(spark, sf):
     half, parity = _two(spark, sf)
     return clu.method_comparison({"half": half, "parity": parity}, fx.vectors(spark, sf),
-                                 "vec_id", "embedding", "label", metric="sqeuclidean")
+                                 "vec_id", "embedding", "label")
 
 
 QUERIES = {
@@ -98,11 +98,8 @@ QUERIES = {
     "inertia": lambda s, d: rounded(clu.inertia(fx.vectors(s, d), "embedding", "label")),
     "silhouette": lambda s, d: rounded(clu.silhouette(fx.vectors(s, d), "vec_id", "embedding", "label")),
     "silhouette_squared": lambda s, d: rounded(clu.silhouette(
-        fx.vectors(s, d), "vec_id", "embedding", "label", metric="sqeuclidean")),
-    "silhouette_sample": lambda s, d: rounded(clu.silhouette(
-        fx.vectors(s, d), "vec_id", "embedding", "label", sample=200)),
-    "k_sweep": lambda s, d: clu.k_sweep(
-        fx.vectors(s, d), "vec_id", "embedding", restarts=2, metric="sqeuclidean"),
+        fx.vectors(s, d), "vec_id", "embedding", "label")),
+    "k_sweep": lambda s, d: rounded(clu.k_sweep(fx.vectors(s, d), "vec_id", "embedding")),
     "cluster_sizes": lambda s, d: rounded(clu.cluster_sizes(_assign(s, d))),
     "cluster_quality": lambda s, d: rounded(clu.cluster_quality(clu.cluster_sizes(_assign(s, d)))),
     "cluster_assignments": _assignments,
@@ -117,9 +114,9 @@ QUERIES = {
         table(s, d, "orders"), "o_orderstatus", "o_orderpriority")),
     "pca_project": lambda s, d: rounded(clu.pca_project(fx.vectors(s, d), "vec_id", "embedding")),
     "pca_variance": lambda s, d: rounded(clu.pca_variance(fx.vectors(s, d), "embedding")),
-    "ward_cluster": lambda s, d: clu.ward_cluster(fx.vectors(s, d), "vec_id", "embedding", 2, micro=100),
+    "ward_cluster": lambda s, d: clu.ward_cluster(fx.vectors(s, d), "vec_id", "embedding"),
     "merge_heights": lambda s, d: rounded(clu.merge_heights(
-        s, clu.ward_fit(fx.vectors(s, d), "vec_id", "embedding", 2, micro=100))),
+        s, clu.ward_fit(fx.vectors(s, d), "vec_id", "embedding"))),
     "contingency": lambda s, d: clu.contingency(*_two(s, d), "vec_id"),
     "adjusted_rand": lambda s, d: rounded(clu.adjusted_rand(*_two(s, d), "vec_id")),
     "align_clusters": lambda s, d: rounded(_align(s, d)),
@@ -199,11 +196,8 @@ SELECT vec_id, CAST(c.label AS BIGINT) AS cluster, round(list_distance({_EMB}, c
 QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY list_distance({_EMB}, center), c.label) = 1"""),
     "inertia": with_views("fx_vec", f"""WITH {_CENTERS}, d AS (SELECT c.label, list_distance({_EMB}, center)^2 AS d FROM fx_vec v JOIN c ON v.label = c.label)
 SELECT CAST(label AS VARCHAR) AS cluster, round(sum(d), 6) AS sum_sq FROM d GROUP BY label UNION ALL SELECT 'total', round(sum(d), 6) FROM d"""),
-    "silhouette": with_views("fx_vec", f"WITH {_sil('label')}\n{_SIL_OUT}"),
+    "silhouette": with_views("fx_vec", f"WITH {_sil('label', 2)}\n{_SIL_OUT}"),
     "silhouette_squared": with_views("fx_vec", f"WITH {_sil('label', 2)}\n{_SIL_OUT}"),
-    "silhouette_sample": with_views("fx_vec", f"""WITH few AS (SELECT * FROM fx_vec
- ORDER BY md5(concat('42|', CAST(vec_id AS VARCHAR))), CAST(vec_id AS VARCHAR) LIMIT 200), {_sil('label', rows='few')}
-{_SIL_OUT}"""),
     "cluster_sizes": with_views("fx_vec", f"""SELECT method, cluster, count(*) AS count,
  round(100.0*count(*)/sum(count(*)) OVER (PARTITION BY method), 6) AS pct FROM ({_METHOD}) m GROUP BY method, cluster"""),
     "cluster_quality": with_views("fx_vec", f"""SELECT method, min(n) AS min_size, max(n) AS max_size, round(max(n)/min(n)::DOUBLE, 6) AS ratio,

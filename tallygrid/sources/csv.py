@@ -22,8 +22,14 @@ def normalize_na(df: DataFrame, cols: Sequence[str], tokens: Sequence[str] = DEF
     return df.withColumns({c: F.when(~F.col(c).isin(list(tokens)), F.col(c)) for c in cols})
 
 
-def _raw(spark: SparkSession, path: str) -> DataFrame:
-    raw = spark.read.csv(path, header=True, nullValue=_NEVER, multiLine=False, escape='"')
+# A number as people write it; a cast alone would also take codes such as 1D or 2F.
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+# Rows of a written CSV file: quoted line breaks make a file one reading task.
+FILE_ROWS = 200_000
+
+
+def _raw(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+    raw = spark.read.csv(path, header=True, nullValue=_NEVER, multiLine=multi_line, escape='"')
     return raw.fillna("")
 
 
@@ -34,7 +40,8 @@ def _inferred(df: DataFrame) -> DataFrame:
         F.count(F.col(f"`{c}`")).alias(f"n{i}"),
         count_if(F.expr(f"try_cast(`{c}` AS BIGINT)").isNotNull()
                  & F.col(f"`{c}`").rlike(r"^\s*[+-]?\d+\s*$")).alias(f"i{i}"),
-        count_if(F.expr(f"try_cast(`{c}` AS DOUBLE)").isNotNull()).alias(f"d{i}"))]).first()
+        count_if(F.expr(f"try_cast(`{c}` AS DOUBLE)").isNotNull() & F.col(f"`{c}`").rlike(_NUMBER))
+        .alias(f"d{i}"))]).first()
 
     def typed(i, c):
         column = F.col(f"`{c}`")
@@ -47,17 +54,22 @@ def _inferred(df: DataFrame) -> DataFrame:
 
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
-             na_tokens: Sequence[str] = DEFAULT_NA) -> DataFrame:
-    """Header CSV; NA tokens become null before types are found or the schema is applied."""
-    text = normalize_na(_raw(spark, path), _raw(spark, path).columns, na_tokens)
+             na_tokens: Sequence[str] = DEFAULT_NA, multi_line: bool = True) -> DataFrame:
+    """Header CSV; NA tokens become null before types are found or the schema is applied.
+
+    ``multi_line=False`` splits large files over tasks, for data without quoted line breaks.
+    """
+    raw = _raw(spark, path, multi_line)
+    text = normalize_na(raw, raw.columns, na_tokens)
     if schema is None:
         return _inferred(text)
     return text.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def scan_csv_literal(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def scan_csv_literal(spark: SparkSession, path: str, schema: T.StructType | None = None,
+                     multi_line: bool = True) -> DataFrame:
     """Header CSV where every text stays text, empty cells included."""
-    text = _raw(spark, path)
+    text = _raw(spark, path, multi_line)
     if schema is None:
         return _inferred(text)
     return text.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
@@ -74,7 +86,8 @@ def write_verified(df: DataFrame, path: str, format: str = "parquet",
     writer = observed.write.mode("overwrite")
     spark = df.sparkSession
     if format == "csv":
-        writer.option("header", True).option("emptyValue", "").option("escape", '"').csv(path)
+        writer.options(header=True, emptyValue="", escape='"', quoteAll=True, maxRecordsPerFile=FILE_ROWS,
+                       ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
         back = scan_csv_literal(spark, path, df.schema)
     else:
         writer.format(format).save(path)

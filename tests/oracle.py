@@ -6,6 +6,7 @@ import glob
 import math
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -63,6 +64,7 @@ def main(argv: list[str]) -> int:
     sf = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
     spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", os.environ.get("SHUFFLE", "8"))
              .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "12g")
+             .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tallygrid-oracle-"))
              .config("spark.ui.enabled", "false").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf)
