@@ -1,12 +1,14 @@
 """Building blocks that keep every task bounded, whatever the key distribution.
 
 * ``settle``             - cut lineage with a reliable checkpoint.
+* ``release``            - let go of shuffle files of finished steps.
 * ``number_rows``        - consecutive numbers without a single-task window.
 * ``windowed``           - window functions that split oversized groups.
 """
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec, functions as F
@@ -31,6 +33,16 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of shuffle files of finished steps now.
+
+    Spark deletes them once the driver's collector finds their plans unreachable,
+    which a roomy driver may not look for until long after the disks are full.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def attach(df: DataFrame, small: DataFrame, keys: Sequence[str],
            how: str = "inner") -> DataFrame:
     """Null-safe equi-join that keeps the left copy of the keys."""
