@@ -40,7 +40,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.scale import settle
+from ..functions.scale import release, settle
 from . import chunks as ch
 from .rows import row_key
 from .textkit import IS_SPACE, Bytes, byte_planes, from_byte_planes, from_planes, pack, planes, shingle_hash, slices, span_hash, unpack
@@ -238,12 +238,16 @@ def links_between(classes: DataFrame, members: DataFrame, groups: DataFrame, per
 
 def membership(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCENT, **columns) -> DataFrame:
     """(doc_id, row, n, root) for every document; ``root`` names its component, null for an empty set."""
+    spark = docs.sparkSession
     sets = settle(sets_with_index(docs, width=width, percent=percent, **columns))
+    release(spark)
     indexed = sets.where(F.col("tokens").isNotNull())
     classes = settle(indexed.select("class", "n", "tokens", "shorts", "bits").dropDuplicates(["class"]))
     members = indexed.select("class", "members").dropDuplicates(["class"])
     groups = settle(groups_of(classes, members, percent))
+    release(spark)
     across = settle(links_between(classes, members, groups, percent))
+    release(spark)
     named = groups.select(F.col("class").alias("a"), F.col("group").alias("ga"))
     other = groups.select(F.col("class").alias("b"), F.col("group").alias("gb"))
     joined = components(across.join(named, "a").join(other, "b").select(F.col("ga").alias("a"), F.col("gb").alias("b")))
