@@ -105,7 +105,8 @@ def test_fingerprint_ignores_order_and_counts_copies(odd):
 
 def test_unseen_category_and_unknown_label(spark, odd):
     test = spark.createDataFrame([(9, "zzz")], "k int, t string")
-    assert {r["value"] for r in feat.one_hot(odd, test, ["t"], "k").collect()} == {0}
+    assert feat.one_hot(odd, test, ["t"], "k").count() == 0
+    assert {r["value"] for r in feat.one_hot(odd, test, ["t"], "k", dense=True).collect()} == {0}
     with pytest.raises(PySparkException):
         feat.label_encode(test, "t", ["a", "b"]).collect()
     with pytest.raises(PySparkException):
@@ -159,3 +160,26 @@ def test_q_values_of_a_known_chain(spark):
     assert abs(q[("a", "stay")] - 9) < 1e-12
     best = {r["state"]: r["action"] for r in seq.greedy_policy(seq.q_iteration(moves, 0.9, 6)).collect()}
     assert best == {"a": "go", "b": "go"}
+
+
+def test_integer_column_is_filled_by_a_half_median(spark):
+    df = spark.createDataFrame([(1,), (2,), (None,), (9,), (2,), (3,), (None,)], "x bigint")
+    rule = [mis.FillRule("x", "median", "missing at random")]
+    assert sorted(r["x"] for r in mis.impute_apply(df, mis.impute_plan(df, rule)).collect()) == [1, 2, 2, 2, 2, 3, 9]
+    df = spark.createDataFrame([(1,), (2,), (None,)], "x bigint")
+    assert sorted(r["x"] for r in mis.impute_apply(df, mis.impute_plan(df, rule)).collect()) == [1.0, 1.5, 2.0]
+
+
+def test_csv_keeps_codes_and_line_breaks(spark, tmp_path):
+    rows = [("1D", "a\nb", "1e3", " x "), ("2F", 'say "hi", ok', ".5", "y")]
+    df = spark.createDataFrame(rows, "code string, note string, number string, padded string")
+    csv.write_verified(df, str(tmp_path / "out"), "csv")
+    back = csv.scan_csv(spark, str(tmp_path / "out"))
+    assert dict(back.dtypes) == {"code": "string", "note": "string", "number": "double", "padded": "string"}
+    assert sorted(tuple(r)[:2] + tuple(r)[3:] for r in back.collect()) == sorted(r[:2] + r[3:] for r in rows)
+
+
+def test_fingerprint_tells_nulls_and_borders_apart(spark):
+    tables = [[(None, "a")], [("\\N", "a")], [("n", "a")], [("a,1:b", "c")], [("a", "b,1:c")]]
+    prints = {identity.table_fingerprint(spark.createDataFrame(t, "x string, y string")).first()["fingerprint"] for t in tables}
+    assert len(prints) == len(tables)
