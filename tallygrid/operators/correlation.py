@@ -6,6 +6,8 @@ import math
 from collections.abc import Sequence
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .profile import ranked
@@ -19,54 +21,56 @@ def corr_label(abs_r: F.Column) -> F.Column:
             .when(abs_r >= MODERATE, "moderate").when(abs_r.isNotNull(), "low"))
 
 
+def _sums(df: DataFrame, cols: Sequence[str], means: Sequence[float]) -> dict[tuple[int, int], tuple]:
+    """{(i, j): (n, sum x, sum x*x, sum x*y)} of centred columns over the rows where both are known.
+
+    A batch gives all pairs by matrix products with the marks of known cells; a task
+    sends one row per pair, whatever its number of rows.
+    """
+    k, names = len(cols), ["i", "j", "n", "s", "q", "p"]
+
+    def products(batches):
+        total = np.zeros((4, k, k))
+        for batch in batches:
+            if batch.num_rows:
+                known = np.array([c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns], dtype="float64").T
+                x = np.array([c.fill_null(0.0).to_numpy() for c in batch.columns]).T - means
+                x[known == 0] = 0.0
+                total += (known.T @ known, x.T @ known, (x * x).T @ known, x.T @ x)
+        i, j = np.divmod(np.arange(k * k), k)
+        yield pa.RecordBatch.from_arrays([pa.array(i.astype("int32")), pa.array(j.astype("int32")),
+                                          *[pa.array(t.ravel()) for t in total]], names=names)
+
+    rows = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)]).mapInArrow(
+        products, "i int, j int, n double, s double, q double, p double")
+    return {(r["i"], r["j"]): (r["n"], r["s"], r["q"], r["p"])
+            for r in rows.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in names[2:]]).collect()}
+
+
 def _pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """(v1, v2, r) for the listed pairs, pairwise complete, null for a constant column.
 
-    A first pass takes one mean per column; the second sums products of the
-    centred columns. Complete columns need one sum per pair; only pairs with
-    nulls carry their own counts and sums.
+    A first pass takes one mean per column; the second sums products of the centred columns.
     """
     cols = list(dict.fromkeys(c for pair in pairs for c in pair))
-    value = {c: F.col(c).cast("double") for c in cols}
-    first = df.agg(F.count(F.lit(1)).alias("n"),
-                   *[F.count(value[c]).alias(f"n{i}") for i, c in enumerate(cols)],
-                   *[F.avg(value[c]).alias(f"m{i}") for i, c in enumerate(cols)]).first()
-    rows = first["n"]
-    full = {c: first[f"n{i}"] == rows for i, c in enumerate(cols)}
-    centred = {c: value[c] - F.lit(first[f"m{i}"] or 0.0) for i, c in enumerate(cols)}
+    first = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    sums = _sums(df, cols, [m or 0.0 for m in first])
     slot = {c: i for i, c in enumerate(cols)}
-
-    sums = {"rows": F.count(F.lit(1))}
-    for c in cols:
-        if full[c]:
-            sums[f"s{slot[c]}"] = F.sum(centred[c])
-            sums[f"q{slot[c]}"] = F.sum(centred[c] * centred[c])
     parts = []
     for a, b in pairs:
-        x, y, tag = centred[a], centred[b], f"{slot[a]}_{slot[b]}"
-        sums[f"xy{tag}"] = F.sum(x * y)
-        if full[a] and full[b]:
-            names = ("rows", f"s{slot[a]}", f"s{slot[b]}", f"q{slot[a]}", f"q{slot[b]}")
-        else:
-            both = x.isNotNull() & y.isNotNull()
-            names = tuple(f"{n}{tag}" for n in ("n", "sx", "sy", "qx", "qy"))
-            for name, part in zip(names, (F.lit(1), x, y, x * x, y * y)):
-                sums[name] = F.sum(F.when(both, part))
-        parts.append((a, b, names, f"xy{tag}"))
-
-    # one row with a few numbers per column pair: finish the arithmetic here
-    total = df.agg(*[c.alias(k) for k, c in sums.items()]).first()
+        n, sx, qx, xy = sums.get((slot[a], slot[b]), (0, 0, 0, 0))
+        _, sy, qy, _ = sums.get((slot[b], slot[a]), (0, 0, 0, 0))
+        parts.append((a, b, n, sx, sy, qx, qy, xy))
+
+    # a few numbers per column pair: finish the arithmetic here
     found = []
-    for a, b, (n, sx, sy, qx, qy), xy in parts:
-        count = total[n] or 0
-        if not count or total[xy] is None:
+    for a, b, n, sx, sy, qx, qy, xy in parts:
+        if not n:
             found.append((a, b, None))
             continue
-        cov = total[xy] - total[sx] * total[sy] / count
-        var_x = total[qx] - total[sx] ** 2 / count
-        var_y = total[qy] - total[sy] ** 2 / count
+        cov, var_x, var_y = xy - sx * sy / n, qx - sx ** 2 / n, qy - sy ** 2 / n
         # sums of a constant column leave rounding dust instead of an exact zero
-        if var_x <= 1e-14 * total[qx] or var_y <= 1e-14 * total[qy]:
+        if var_x <= 1e-14 * qx or var_y <= 1e-14 * qy:
             found.append((a, b, None))
         else:
             found.append((a, b, cov / (math.sqrt(var_x) * math.sqrt(var_y))))
