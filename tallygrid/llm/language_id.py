@@ -172,12 +172,15 @@ def predict(docs: DataFrame, model: Model | None, *, doc_id: str = "doc_id", tex
 
 
 def accept(docs: DataFrame, model: Model | None, *, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that the model does not reject, unchanged."""
+    """The rows of ``docs`` that the model does not reject, unchanged.
+
+    Only texts go to Python and only marks come back.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, text):
-            _, _, refused = judge(shared.value, part.column(part.schema.get_field_index(text)))
-            yield part.filter(pa.array(~refused))
+    @F.arrow_udf("boolean")
+    def accepted(texts: pa.Array) -> pa.Array:
+        kept = [~judge(shared.value, part.column(0))[2] for part in slices([pa.RecordBatch.from_arrays([texts], ["text"])])]
+        return pa.array(np.concatenate(kept) if kept else np.zeros(0, bool))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.where(accepted(F.col(text)))
