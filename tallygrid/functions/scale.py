@@ -9,6 +9,7 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec, functions as F
@@ -37,10 +38,13 @@ def release(spark: SparkSession) -> None:
     """Let go of shuffle files of finished steps now.
 
     Spark deletes them once the driver's collector finds their plans unreachable,
-    which a roomy driver may not look for until long after the disks are full.
+    which a roomy driver may not look for until long after the disks are full. Plans,
+    stages and dependencies are found one after another, hence the rounds.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(3):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def attach(df: DataFrame, small: DataFrame, keys: Sequence[str],
