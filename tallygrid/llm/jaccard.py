@@ -201,6 +201,26 @@ def groups_of(classes: DataFrame, members: DataFrame, percent: int = PERCENT) ->
         .select(F.col("node").alias("class"), F.col("root").alias("group"))
 
 
+def bridged(classes: DataFrame, members: DataFrame, groups: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(class, group) after joining groups whose smallest members at a shared shingle link.
+
+    A large cluster that fell into several groups becomes one here, at the cost of one
+    verification a shingle and group, so its pairs across groups never come up.
+    """
+    entries = classes.join(groups, "class").select("class", "group", "n", F.explode("tokens").alias("token"))
+    heads = entries.groupBy("token", "group").agg(F.min(F.struct("n", "class")).alias("head"))
+    first = heads.groupBy("token").agg(F.min("head").alias("first"), F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
+    pairs = heads.join(first, "token").where(
+        (F.col("head.class") != F.col("first.class")) & (100 * F.col("first.n") >= percent * F.col("head.n"))) \
+        .select(F.col("first.class").alias("a"), F.col("head.class").alias("b")).distinct()
+    named = groups.select(F.col("class").alias("a"), F.col("group").alias("ga"))
+    other = groups.select(F.col("class").alias("b"), F.col("group").alias("gb"))
+    joined = components(verified(pairs, members, percent).join(named, "a").join(other, "b").select(
+        F.col("ga").alias("a"), F.col("gb").alias("b")))
+    return groups.join(joined.withColumnRenamed("node", "group"), "group", "left").select(
+        "class", F.coalesce("root", "group").alias("group"))
+
+
 def links_between(classes: DataFrame, members: DataFrame, groups: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Verified (a, b) links between classes of different groups."""
     own = classes.join(groups, "class").select("class", "group", "n", "shorts", "tokens", "bits")
@@ -245,6 +265,7 @@ def membership(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCENT, *
     classes = settle(indexed.select("class", "n", "tokens", "shorts", "bits").dropDuplicates(["class"]))
     members = indexed.select("class", "members").dropDuplicates(["class"])
     groups = settle(groups_of(classes, members, percent))
+    groups = settle(bridged(classes, members, groups, percent))
     release(spark)
     across = settle(links_between(classes, members, groups, percent))
     release(spark)
