@@ -20,7 +20,8 @@ Shingle hashes only propose; words decide. Frequent shingles are salted over
 
 Rows: every document row gives one row, repeated rows too. Null or empty texts have
 no words; items without words or with null text have no windows; items with a null id
-take part in hits but are not listed. An empty benchmark hits nothing. Only id and
+take part in hits but are not listed; items that share an id, or have none, each have
+their own windows. An empty benchmark hits nothing. Only id and
 text columns are read.
 """
 
@@ -89,13 +90,16 @@ def _bit_table(hashes: DataFrame, column: str) -> np.ndarray:
 
 
 def item_windows(items: DataFrame, window: int = WINDOW, *, item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """(item, w, h, at, width, size, near, near_at): each shingle of each window, with its surroundings."""
-    shape = "item string, w bigint, h bigint, at int, width int, size int, near string, near_at int"
+    """(item, body, w, h, at, width, size, near, near_at): each shingle of each window, with its surroundings.
+
+    ``body`` marks the item's text: ids may be null, or stand for several texts.
+    """
+    shape = "item string, body string, w bigint, h bigint, at int, width int, size int, near string, near_at int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, limit=1 << 18):
-            body, starts, ends, words, first = _words(part.column(1))
-            ids, out = part.column(0).to_pylist(), []
+            body, starts, ends, words, first = _words(part.column(2))
+            ids, bodies, out = part.column(0).to_pylist(), part.column(1).to_pylist(), []
             for d in range(body.docs):
                 a, b = int(first[d]), int(first[d + 1])
                 size, width = b - a, min(SHINGLE, b - a)
@@ -106,14 +110,15 @@ def item_windows(items: DataFrame, window: int = WINDOW, *, item_id: str = "item
                         for q in range(len(h))]
                 for w in range(max(1, size - window + 1)):
                     for q in range(w, w + min(window, size) - width + 1):
-                        out.append((ids[d], w, h[q], q, width, size, *near[q]))
+                        out.append((ids[d], bodies[d], w, h[q], q, width, size, *near[q]))
             if out:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32(),
-                                                               pa.int32(), pa.string(), pa.int32()))],
-                    names=["item", "w", "h", "at", "width", "size", "near", "near_at"])
+                    [pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int32(),
+                                                               pa.int32(), pa.int32(), pa.string(), pa.int32()))],
+                    names=["item", "body", "w", "h", "at", "width", "size", "near", "near_at"])
 
-    return items.select(F.col(item_id).cast("string").alias("item"), F.col(text).alias("text")).mapInArrow(run, shape)
+    return items.select(F.col(item_id).cast("string").alias("item"), F.sha2(F.col(text).cast("binary"), 256).alias("body"),
+                        F.col(text).alias("text")).mapInArrow(run, shape)
 
 
 def _counts(docs: DataFrame, table, widths: list[int]) -> DataFrame:
@@ -211,7 +216,7 @@ def contamination(docs: DataFrame, items: DataFrame, *, window: int = WINDOW, do
     shingles = settle(item_windows(items, window, item_id=item_id, text=item_text))
     widths = sorted(r["width"] for r in shingles.select("width").distinct().collect())
     counts = _counts(plain, spark.sparkContext.broadcast(_bit_table(shingles, "h")), widths)
-    ranked = shingles.join(counts, "h", "left").groupBy("item", "w").agg(
+    ranked = shingles.join(counts, "h", "left").groupBy("item", "body", "w").agg(
         F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "h", "at", "width", "size", "near", "near_at")).alias("best"))
     prefixes = settle(ranked.where("best.n > 0").select("item", "best.h", "best.at", "best.width", "best.size", "best.near",
                                                         "best.near_at").distinct())

@@ -144,6 +144,19 @@ def test_decontaminate_without_items(special, spark):
     assert got.count() == len(SPECIAL) and not got.where("n_hit > 0").count()
 
 
+def test_decontaminate_items_that_share_an_id(spark):
+    """Items with equal or null ids keep their own windows, also beside items with words no document has."""
+    passages = [prose(700 + k, 15) for k in range(6)]
+    items = [(None, passages[0]), (None, passages[1]), (None, prose(720, 14) + " unseen"), (7, passages[2]), (7, passages[3]),
+             (7, "never met words " + prose(721, 13)), (7, passages[2]), (8, passages[4])]
+    docs = [(k, f"{prose(730 + k, 8)} {p} {prose(740 + k, 8)}") for k, p in enumerate(passages)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = decontaminate.report(frame, spark.createDataFrame(items, "item_id bigint, text string"))
+    want = plain.contamination(docs, items)
+    assert [r[5] for r in want] == [True] * 5 + [False]
+    assert rows(got, "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated") == ordered(want)
+
+
 @pytest.mark.parametrize("name", ["special", "documents", "nothing"])
 def test_byte_bpe(request, name):
     import tiktoken
