@@ -1,22 +1,29 @@
 """Personal data and the terms that give it away: information-theoretic sanitisation.
 
 Everything is a DataFrame expression. Base spans are e-mail addresses, IP addresses,
-card numbers and phone numbers. Around each of them the words of ``REACH`` code
-points on both sides are its context. For a term t and a kind of entity k the
-corpus gives document counts n(t), n(k), the count n(t, k) of documents with t in a
-context of k, and N for all documents. The term discloses the entity by
+card numbers and phone numbers. Words inside base spans are left out. All counts
+are numbers of distinct texts of the whole table, so copies of one text prove nothing.
+A term t discloses an entity's value v, counted over whole texts (n(t), n(v), n(t, v)
+with both, N in all), by
 
-    PMI(t, k) / IC(k) = log(n(t, k) * N / (n(t) * n(k))) / log(N / n(k)),
+    PMI(t, v) / IC(v) = log(n(t, v) * N / (n(t) * n(v))) / log(N / n(v)),
 
-which is 1 when every document with the term has the entity beside it and 0 when
-they are independent. Terms at or above ``generalise_at`` are reported as spans of
-kind ``term`` inside the contexts concerned; ``sanitise`` replaces them by their
-entity's kind, and removes them from ``remove_at`` on. A term needs at least
-``support`` different entity values beside it, so the copies of one text prove
-nothing. All counts cover the whole table.
+which is 1 when every text with the term has the value, and 0 when they are
+independent; at least ``support`` texts must have both. In addition a term discloses
+a kind k of entity by PMI(t, k) / IC(k), where n(k) counts texts with the kind, and
+n(t, k) those with t within ``REACH`` code points of one; this takes at least
+``support`` different values beside the term.
+
+Terms at or above ``generalise_at`` in one of the two are reported as spans of kind
+``term`` wherever they stand, in texts without the entity too; ``sanitise`` replaces
+them by their entity's kind, and removes them from ``remove_at`` on.
+
+Only texts with a value of ``support`` texts are paired with its terms, and only terms
+whose own count can reach the threshold. Tables of at most ``SMALL`` rows are sent to
+the texts; larger ones are joined by exchanges.
 
 Rows: every input row gives one row; a null text counts as empty; repeated rows are
-repeated and count as one document each. Only the id and text columns are read.
+repeated. Only the id and text columns are read.
 """
 
 from __future__ import annotations
@@ -41,6 +48,8 @@ WORD = r"[\p{L}\p{N}_]{3,}"
 SUPPORT = 5
 GENERALISE_AT = 0.8
 REMOVE_AT = 0.95
+SMALL = 200_000
+PLACES = "array<struct<start:int,end:int,kind:string,match:string,of:string,disclosure:double>>"
 
 
 def _digits(s: Column) -> Column:
@@ -94,26 +103,98 @@ def _context(text: Column, spans: Column) -> Column:
     return F.filter(F.flatten(both), lambda w: ~F.exists(spans, lambda s: sp.overlaps(s, w)))
 
 
-def disclosing_terms(docs: DataFrame, contexts: DataFrame, *, support: int = SUPPORT,
-                     generalise_at: float = GENERALISE_AT) -> DataFrame:
-    """(term, kind, disclosure) of the terms at or above the threshold.
+def _masked(text: Column, base: Column) -> Column:
+    """Text with base spans blanked; places stay."""
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    ``docs`` has ``text``; ``contexts`` has ``row``, ``kind``, ``value`` and ``term``.
-    """
+    def step(state: Column, s: Column) -> Column:
+        gap = F.substring(text, state["at"] + 1, F.greatest(s["start"] - state["at"], F.lit(0)))
+        blank = F.repeat(F.lit(" "), F.greatest(s["end"] - F.greatest(s["start"], state["at"]), F.lit(0)))
+        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), F.concat(state["out"], gap, blank).alias("out"))
+
+    return F.when(F.size(base) == 0, text).otherwise(F.aggregate(
+        F.array_sort(base), start, step, lambda state: F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text)))))
+
+
+def _words(text: Column) -> Column:
+    """Distinct lower-case words."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), lambda w: F.lower(w)))
+
+
+def _places(text: Column, marks: Column) -> Column:
+    """Every occurrence of the marked terms (term, of, disclosure)."""
+    found = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    gaps = F.slice(F.split(text, WORD, -1), 1, F.greatest(F.size(found), F.lit(1)))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(PLACES).alias("out"))
+
+    def step(state: Column, pair: Column) -> Column:
+        begin = state["at"] + F.length(pair["gap"])
+        end = begin + F.length(pair["hit"])
+        mine = F.transform(F.filter(marks, lambda m: m["term"] == F.lower(pair["hit"])), lambda m: F.struct(
+            begin.alias("start"), end.alias("end"), F.lit(TERM).alias("kind"), m["term"].alias("match"), m["of"].alias("of"),
+            m["disclosure"].alias("disclosure")))
+        out = F.when(F.exists(marks, lambda m: m["term"] == F.lower(pair["hit"])), F.concat(state["out"], mine))
+        return F.struct(end.alias("at"), out.otherwise(state["out"]).alias("out"))
+
+    pairs = F.zip_with(found, gaps, lambda hit, gap: F.struct(hit.alias("hit"), gap.alias("gap")))
+    return F.aggregate(F.filter(pairs, lambda p: p["hit"].isNotNull()), start, step, lambda state: state["out"])
+
+
+def _sent(table: DataFrame) -> DataFrame:
+    """A settled table, marked to be sent to all tasks if it is small."""
+    return F.broadcast(table) if table.limit(SMALL + 1).count() <= SMALL else table
+
+
+def _disclosure(together: str, seen: str, holders: str, total: int) -> Column:
+    content = F.log(F.lit(float(total)) / F.col(holders))
+    return F.when(content > 0, F.log(F.col(together) * F.lit(float(total)) / (F.col(seen) * F.col(holders))) / content)
+
+
+def kind_terms(contexts: DataFrame, alone: DataFrame, total: int, *, support: int, generalise_at: float) -> DataFrame:
+    """(term, kind, disclosure) of the terms that disclose a kind; ``contexts`` has ``key``, ``kind``, ``value`` and ``term``."""
     beside = contexts.groupBy("term", "kind").agg(
-        F.count_distinct("value").alias("values"), F.count_distinct("row").alias("together")) \
+        F.count_distinct("value").alias("values"), F.count_distinct("key").alias("together")) \
         .where(F.col("values") >= support)
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("term"))
-    alone = words.groupBy("term").agg(F.count(F.lit(1)).alias("seen"))
-    held = contexts.groupBy("kind").agg(F.count_distinct("row").alias("holders"))
-    total = docs.agg(F.count(F.lit(1)).alias("all")).select(F.col("all")).scalar()
-    rows = beside.join(alone, "term").join(held, "kind").withColumn("all", total)
-    pmi = F.log(F.col("together") * F.col("all") / (F.col("seen") * F.col("holders")))
-    content = F.log(F.col("all") / F.col("holders"))
-    return rows.withColumn("disclosure", F.when(content > 0, pmi / content)) \
+    held = contexts.groupBy("kind").agg(F.count_distinct("key").alias("holders"))
+    return beside.join(alone, "term").join(held, "kind") \
+        .withColumn("disclosure", _disclosure("together", "seen", "holders", total)) \
         .where(F.col("disclosure") >= generalise_at).select("term", "kind", "disclosure")
 
 
+def value_terms(keyed: DataFrame, entities: DataFrame, alone: DataFrame, total: int, *, support: int,
+                generalise_at: float) -> DataFrame:
+    """(term, kind, disclosure) of the terms that disclose one value; ``entities`` has distinct ``key``, ``kind`` and ``value``."""
+    values = entities.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("holders")).where(F.col("holders") >= support)
+    shared = settle(entities.join(values, ["kind", "value"]))
+    holders = settle(shared.select("key").distinct())
+    words = keyed.join(_sent(holders), "key", "left_semi").select("key", F.explode(_words(_masked(F.col("text"), F.col("base")))).alias("term"))
+    # a term of more texts cannot reach the threshold, even where all of the value's texts have it
+    most = F.lit(float(total)) ** F.lit(1 - generalise_at) * F.col("holders") ** F.lit(generalise_at) * 1.000001
+    pairs = words.distinct().join(alone.where(F.col("seen") >= support), "term").join(_sent(shared), "key").where(F.col("seen") <= most)
+    return pairs.groupBy("term", "kind", "value").agg(
+        F.count(F.lit(1)).alias("together"), F.first("seen").alias("seen"), F.first("holders").alias("holders")) \
+        .where(F.col("together") >= support).withColumn("disclosure", _disclosure("together", "seen", "holders", total)) \
+        .where(F.col("disclosure") >= generalise_at).select("term", "kind", "disclosure")
+
+
+def disclosing_terms(keyed: DataFrame, *, support: int = SUPPORT, generalise_at: float = GENERALISE_AT) -> DataFrame:
+    """(term, kind, disclosure) of the terms at or above the threshold for a value or a kind; ``keyed`` has ``key``, ``text`` and ``base``."""
+    copies = settle(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("copies")))
+    total = copies.count()
+    # a text of n rows counts 1 / n in each; sums are whole numbers but for rounding
+    repeated = _sent(settle(copies.where("copies > 1")))
+    words = keyed.join(repeated, "key", "left").select(
+        (1 / F.coalesce("copies", F.lit(1))).alias("part"), F.explode(_words(_masked(F.col("text"), F.col("base")))).alias("term"))
+    alone = settle(words.groupBy("term").agg(F.round(F.sum("part")).cast("bigint").alias("seen")))
+    rows = settle(keyed.where(F.size("base") > 0).select(
+        "key", F.array_distinct(F.transform("base", lambda s: F.struct(s["kind"].alias("kind"), s["match"].alias("value")))).alias("held"),
+        _context(F.col("text"), F.col("base")).alias("near")))
+    limits = {"support": support, "generalise_at": generalise_at}
+    kinds = kind_terms(rows.select("key", F.inline("near")), alone, total, **limits)
+    values = value_terms(keyed, rows.select("key", F.inline("held")).distinct(), alone, total, **limits)
+    return kinds.unionByName(values).groupBy("term", "kind").agg(F.max("disclosure").alias("disclosure"))
+
+
 def find(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", support: int = SUPPORT,
          generalise_at: float = GENERALISE_AT) -> DataFrame:
     """(doc_id, row, base, terms) for every row: base spans, and term spans with their disclosure.
@@ -121,15 +202,13 @@ def find(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", support
     ``row`` marks rows of equal id and text.
     """
     plain = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = plain.withColumn("base", base_spans(F.col("text")))
-    rows = settle(rows.select("doc_id", row_key("doc_id", "text").alias("row"), "base",
-                              F.when(F.size("base") > 0, _context(F.col("text"), F.col("base"))).alias("near")))
-    contexts = rows.where(F.size("near") > 0).select("row", F.inline("near"))
-    flagged = disclosing_terms(plain, contexts, support=support, generalise_at=generalise_at)
-    terms = contexts.join(flagged, ["term", "kind"]).groupBy("row").agg(F.collect_set(F.struct(
-        "start", "end", F.lit(TERM).alias("kind"), F.col("term").alias("match"), F.col("kind").alias("of"), "disclosure")).alias("terms"))
-    return rows.drop("near").join(terms, "row", "left").select(
-        "doc_id", "row", "base", F.coalesce("terms", F.array().cast(terms.schema["terms"].dataType)).alias("terms"))
+    keyed = plain.withColumn("key", F.xxhash64("text")).withColumn("base", base_spans(F.col("text")))
+    flagged = _sent(settle(disclosing_terms(keyed.drop("doc_id"), support=support, generalise_at=generalise_at)))
+    marks = keyed.select("key", F.explode(_words(_masked(F.col("text"), F.col("base")))).alias("term")).join(flagged, "term") \
+        .groupBy("key").agg(F.collect_set(F.struct("term", F.col("kind").alias("of"), "disclosure")).alias("marks"))
+    terms = F.when(F.col("marks").isNotNull(), _places(_masked(F.col("text"), F.col("base")), F.col("marks")))
+    return keyed.join(_sent(settle(marks)), "key", "left").select(
+        "doc_id", row_key("doc_id", "text").alias("row"), "base", F.coalesce(terms, F.array().cast(PLACES)).alias("terms"))
 
 
 def _flat(terms: Column) -> Column:

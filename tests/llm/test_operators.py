@@ -2,6 +2,7 @@
 
 import os
 import random
+import re
 import sys
 
 import numpy as np
@@ -251,6 +252,25 @@ def test_disclosing_terms(spark):
     assert cleaned[0] == rest[0] and cleaned[330] == "rareword <phone>"
 
 
+def test_terms_that_disclose_one_value(spark):
+    """A term that stands by one address in different texts, however far off, is reported everywhere; one in copies is not."""
+    rng = random.Random(7)
+    rest = [prose(1200 + k, 30) for k in range(300)]
+    owned = [f"Zarquon {prose(1600 + k, 30)} kim.roe@site.org {prose(1700 + k, 5)} zarquon" for k in range(12)]
+    told = [f"{prose(1800 + k, 20)} hotline +1 555 {rng.randrange(10**6, 10**7)} {prose(1900 + k, 20)} hotline" for k in range(20)]
+    alone = [f"{prose(2000, 20)} zarquon end", f"{prose(2001, 20)} hotline end"]
+    copies = ["copyword for one@two.org"] * 30
+    texts = rest + owned + told + alone + copies
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    got = {(r["doc_id"], r["t"]["start"], r["t"]["end"], r["t"]["of"]) for r in
+           personal.find(docs).select("doc_id", F.explode("terms").alias("t")).collect()}
+    want = {(i, m.start(), m.end(), of) for i, t in enumerate(texts) for word, of in (("zarquon", "email"), ("hotline", "phone"))
+            for m in re.finditer(word, t.lower())}
+    assert got == want
+    cleaned = {r["doc_id"]: r["text"].lower() for r in personal.sanitise(docs).collect()}
+    assert len(cleaned) == len(texts) and not any("zarquon" in t or "hotline" in t for t in cleaned.values())
+
+
 def test_top_k(spark):
     rng = random.Random(3)
     vectors = [(i, [rng.choice([-1.0, 0.0, 0.5]) for _ in range(6)]) for i in range(700)]
