@@ -7,7 +7,7 @@ import os
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, decontaminate, jaccard, language_id, mixing, personal, repeats, secrets, top_k, toxicity
+from . import byte_bpe, decontaminate, jaccard, language_id, mixing, personal, repeats, secrets, top_k, toxicity, trie
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +66,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.nodes(trie.rebuild(table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_repeats": op2_repeats,
@@ -77,6 +81,7 @@ QUERIES = {
     "op8_top_k": op8_top_k,
     "op9_secrets": op9_secrets,
     "op10_language_id": op10_language_id,
+    "op13_trie": op13_trie,
 }
 
 ORACLES: dict[str, str] = {
@@ -88,4 +93,27 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum([p[1] * p[2] for p in
       FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
+    "op13_trie": """
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+           FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 100 AS base,
+             xor(list_reduce([4294967295::UBIGINT] || [ascii(ch)::UBIGINT FOR ch IN string_split(conv_id::VARCHAR, '')],
+                             lambda a, b: list_reduce([xor(a, b), 0::UBIGINT, 0::UBIGINT, 0::UBIGINT, 0::UBIGINT, 0::UBIGINT, 0::UBIGINT, 0::UBIGINT, 0::UBIGINT],
+                                                      lambda v, z: xor(v >> 1, 3988292384::UBIGINT * (v & 1)))), 4294967295::UBIGINT) % 6 AS h
+      FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (SELECT c.conv_id, t.place, t.role, t.text FROM c JOIN t ON t.conv_id = c.base WHERE t.place <= c.h
+      UNION ALL SELECT c.conv_id, t.place, t.role, t.text FROM c JOIN t ON t.conv_id = c.conv_id WHERE t.place > c.h),
+s AS (SELECT c.conv_id, coalesce(list({'role': r.role, 'text': r.text} ORDER BY r.place) FILTER (r.place IS NOT NULL), []) AS seq
+      FROM c LEFT JOIN r ON r.conv_id = c.conv_id GROUP BY c.conv_id),
+p AS (SELECT conv_id, seq[1:d] AS path, d = len(seq) AS stops FROM (SELECT *, unnest(range(0, len(seq) + 1)) AS d FROM s)),
+n AS (SELECT path, len(path) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+             sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (stops), '')) AS ends_sha256 FROM p GROUP BY path),
+k AS (SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+m AS (SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM n LEFT JOIN k ON k.path = n.path),
+u AS (SELECT path[1:d] AS path, n_children, (n_convs - 1) * coalesce(length(path[len(path)].text), 0) AS saved
+      FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM m)),
+b AS (SELECT path, count(*) FILTER (n_children = 0) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens FROM u GROUP BY path)
+SELECT m.conv_id, m.depth, up.conv_id AS parent_conv_id, m.n_convs, m.n_children, b.n_leaves, b.saved_tokens, m.ends_sha256
+FROM m JOIN b ON b.path = m.path LEFT JOIN n up ON up.path = m.path[1:m.depth - 1] AND m.depth > 0""",
 }
