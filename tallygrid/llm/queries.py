@@ -7,7 +7,7 @@ import os
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, decontaminate, jaccard, language_id, mixing, personal, repeats, secrets, top_k, toxicity, trie
+from . import byte_bpe, decontaminate, jaccard, language_id, mixing, personal, repeats, secrets, top_k, toxicity, trie, word_bpe
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +66,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op11_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), keep_ids=False, keep_text=False)
+
+
 def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.nodes(trie.rebuild(table(spark, sf_dir, "conversations")))
 
@@ -81,6 +85,7 @@ QUERIES = {
     "op8_top_k": op8_top_k,
     "op9_secrets": op9_secrets,
     "op10_language_id": op10_language_id,
+    "op11_word_bpe": op11_word_bpe,
     "op13_trie": op13_trie,
 }
 
