@@ -24,7 +24,6 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
-import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import chain
@@ -33,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
+import zstandard
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
@@ -41,7 +41,7 @@ from tallygrid.functions.scale import settle
 
 from .textkit import byte_planes, from_byte_planes, pack, unpack
 
-CHUNK_BYTES = 24 << 20
+CHUNK_BYTES = 32 << 20
 BUCKET_BYTES = 24 << 20
 PART_RUNS = 1 << 20
 
@@ -133,14 +133,22 @@ def _small(values: np.ndarray) -> np.ndarray:
 
 
 def _squeeze(*arrays: np.ndarray) -> bytes:
-    return zlib.compress(pack(*arrays), 1)
+    return zstandard.ZstdCompressor(level=9).compress(pack(*arrays))
+
+
+def _open(blob: bytes) -> list[np.ndarray]:
+    return unpack(zstandard.ZstdDecompressor().decompress(blob))
 
 
 def _chunk(number: int, docs: list, slots: list, names: list, counts: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """Rows of one chunk: its runs by bucket, and its documents as places of runs, frequent runs first."""
+    """Rows of one chunk: its runs by bucket, and its documents as places of runs.
+
+    Frequent runs come first; runs that occur once come last, in the order of the text, where a 0 stands for the next of them.
+    """
     order = np.argsort(-counts, kind="stable")
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
+    code = np.where(counts == 1, 0, place + 1)
     owner = np.fromiter((xxhash.xxh3_64_intdigest(names[i]) % buckets for i in order), np.int64, len(order))
     out = []
     by_owner = np.argsort(owner, kind="stable")
@@ -156,7 +164,7 @@ def _chunk(number: int, docs: list, slots: list, names: list, counts: np.ndarray
         end = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + PART_RUNS, side="right")))
         known = np.array([d is not None for d in docs[start:end]])
         ids = np.array([d or 0 for d in docs[start:end]], np.int64)
-        places = place[np.concatenate(slots[start:end])] if end > start else place[:0]
+        places = code[np.concatenate(slots[start:end])]
         out.append((number, None, part, _squeeze(ids, known, _small(lengths[start:end]), _small(places))))
         start, part = end, part + 1
     return pa.RecordBatch.from_pydict({"chunk": pa.array([r[0] for r in out], pa.int64()), "bucket": pa.array([r[1] for r in out], pa.int32()),
@@ -203,7 +211,7 @@ def encode_runs(packed: DataFrame, config: Broadcast) -> DataFrame:
         known: dict[bytes, tuple[int, ...]] = {}
         data = []
         for blob in table.column("data"):
-            gaps, runs = unpack(zlib.decompress(blob.as_py()))
+            gaps, runs = _open(blob.as_py())
             found = []
             for run in runs.tobytes().split(b"\n"):
                 ids = known.get(run)
@@ -224,7 +232,7 @@ def join_ids(packed: DataFrame, answers: DataFrame, config: Broadcast, keep_ids:
     def join(docs: pa.Table, answers: pa.Table) -> pa.Table:
         pieces = vocabulary(config.value).pieces
         numbers = [str(i) for i in range(len(pieces))]
-        parts = [unpack(zlib.decompress(blob.as_py())) for blob in answers.column("data")]
+        parts = [_open(blob.as_py()) for blob in answers.column("data")]
         n = sum(len(p[0]) // 4 for p in parts)
         ids_of: list = [None] * n
         for gaps, sizes, flat in parts:
@@ -240,9 +248,13 @@ def join_ids(packed: DataFrame, answers: DataFrame, config: Broadcast, keep_ids:
         as_pieces = [" ".join([pieces[i] for i in ids]) for ids in ids_of]
         empty = bool((sizes == 0).any())
         rows = {c: [] for c in ("doc_id", "n_tokens", "ids", "ids_sha256", "decoded", "decoded_sha256")}
-        for blob in docs.column("data"):
-            doc_ids, known, lengths, places = unpack(zlib.decompress(blob.as_py()))
-            places = from_byte_planes(places, np.uint32)
+        blobs = [_open(blob) for _, blob in sorted(zip(docs.column("part").to_pylist(), docs.column("data").to_pylist()))]
+        codes = [from_byte_planes(p[3], np.uint32).astype(np.int64) for p in blobs]
+        new = n - sum(int((c == 0).sum()) for c in codes)
+        for (doc_ids, known, lengths, _), code in zip(blobs, codes):
+            single = code == 0
+            places = np.where(single, new + np.cumsum(single) - 1, code - 1)
+            new += int(single.sum())
             start = 0
             for doc, there, end in zip(doc_ids.tolist(), known.tolist(), np.cumsum(from_byte_planes(lengths, np.uint32)).tolist()):
                 own = places[start:end]
