@@ -7,7 +7,7 @@ import os
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, decontaminate, jaccard, language_id, mixing, personal, repeats, secrets, top_k, toxicity, trie, word_bpe
+from . import byte_bpe, decontaminate, jaccard, language_id, mixing, personal, phrases, repeats, secrets, top_k, toxicity, trie, word_bpe
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +70,10 @@ def op11_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), keep_ids=False, keep_text=False)
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.nodes(trie.rebuild(table(spark, sf_dir, "conversations")))
 
@@ -86,6 +90,7 @@ QUERIES = {
     "op9_secrets": op9_secrets,
     "op10_language_id": op10_language_id,
     "op11_word_bpe": op11_word_bpe,
+    "op12_phrases": op12_phrases,
     "op13_trie": op13_trie,
 }
 
@@ -98,6 +103,25 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum([p[1] * p[2] for p in
       FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
+    "op12_phrases": r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+             translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents WHERE text IS NOT NULL),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p),
+t AS (SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, words[i:i + k - 1] AS gram FROM (SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS i
+      FROM w, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(words) >= k)),
+f AS MATERIALIZED (SELECT lang, gram, count(*) AS a FROM g GROUP BY lang, gram HAVING count(*) >= 30),
+c AS (SELECT * FROM f WHERE len(gram) > 1),
+longer AS (SELECT lang, gram[i:i + k - 1] AS gram, max(a) AS most FROM (
+             SELECT lang, gram, a, k, unnest(range(1, len(gram) - k + 2)) AS i FROM c, (SELECT unnest([2, 3]) AS k) WHERE k < len(gram)) GROUP BY ALL),
+kept AS (SELECT c.* FROM c LEFT JOIN longer m ON m.lang = c.lang AND m.gram = c.gram WHERE m.most IS NULL OR 100 * m.most::HUGEINT < 80 * c.a::HUGEINT),
+cuts AS (SELECT lang, gram, a, unnest(range(1, len(gram))) AS k FROM kept),
+s AS (SELECT cuts.*, x.a AS l, y.a AS r, CAST(2000000::HUGEINT * cuts.a // (x.a::HUGEINT + y.a) AS BIGINT) AS score FROM cuts
+      JOIN f x ON x.lang = cuts.lang AND x.gram = cuts.gram[1:k] JOIN f y ON y.lang = cuts.lang AND y.gram = cuts.gram[k + 1:]),
+b AS (SELECT *, row_number() OVER (PARTITION BY lang, gram ORDER BY score, k) AS cut FROM s),
+o AS (SELECT lang, array_to_string(gram, ' ') AS phrase, a, l, r, score,
+             row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(gram, ' ')) AS rank FROM b WHERE cut = 1)
+SELECT o.lang, rank, phrase, a, l, r, n, score FROM o JOIN t ON t.lang = o.lang WHERE rank <= 2000""",
     "op13_trie": """
 WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
