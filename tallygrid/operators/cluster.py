@@ -7,7 +7,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window, functions as F
@@ -15,33 +14,24 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions.columns import count_if, percent, ratio, unpivot_values
 from ..functions.quantiles import quantiles
 from ..functions.vectors import as_array, as_vector, lists, matrix
+from . import lloyd
 from .features import inverse_scale
 from .profile import ranked
 
 # ---------------------------------------------------------------- fitting
 
 def kmeans_fit(df: DataFrame, features: str, k: int, restarts: int = 20, seed: int = 42,
-               max_iter: int = 300) -> tuple[KMeansModel, DataFrame]:
-    """Best of ``restarts`` runs by within-cluster sum of squares, with the cost of each run."""
-    rows = df.select(as_vector(df, features).alias("features")).persist()
-    best, costs = None, []
-    try:
-        for r in range(restarts):
-            model = KMeans(k=k, seed=seed + r, maxIter=max_iter, tol=1e-4).fit(rows)
-            cost = model.summary.trainingCost
-            costs.append(cost)
-            if best is None or cost < best[0]:
-                best = (cost, r, model)
-    finally:
-        rows.unpersist()
-    table = [(r, float(c), r == best[1]) for r, c in enumerate(costs)]
-    return best[2], df.sparkSession.createDataFrame(table, "restart int, cost double, chosen boolean")
-
-
-def cluster_assignments(model: KMeansModel, df: DataFrame, key: str, target: str,
+               max_iter: int = 300) -> tuple[lloyd.Run, DataFrame]:
+    """Best of ``restarts`` runs by within-cluster sum of squares, with the cost of each run; all runs share their passes."""
+    runs = lloyd.fit_many(df, features, [k], restarts, seed, max_iter)
+    best = lloyd.best_of(runs, k)
+    table = [(r.restart, r.cost, r is best) for r in runs]
+    return best, df.sparkSession.createDataFrame(table, "restart int, cost double, chosen boolean")
+
+
+def cluster_assignments(model: lloyd.Run, df: DataFrame, key: str, target: str,
                         features: str = "features") -> DataFrame:
-    rows = df.select(key, target, as_vector(df, features).alias("features"))
-    return model.transform(rows).select(key, F.col("prediction").alias("cluster"), target)
+    return df.select(key, model.predict(as_array(df, features)).alias("cluster"), target)
 
 
 def nearest_centroid(df: DataFrame, key: str, vector: str, centroids: DataFrame) -> DataFrame:
@@ -110,19 +100,6 @@ def silhouette(df: DataFrame, key: str, vector: str, cluster: str) -> DataFrame:
         F.lit("overall").alias("cluster"), "n", "silhouette"))
 
 
-def _score(sums: np.ndarray, own: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Silhouette per row from its summed distances to every cluster."""
-    n = len(own)
-    at = np.arange(n)
-    a = sums[at, own] / np.maximum(sizes[own] - 1, 1)
-    other = sums / sizes
-    other[at, own] = np.inf
-    b = other.min(axis=1)
-    top = np.maximum(a, b)
-    s = np.where(top > 0, (b - a) / np.where(top > 0, top, 1), 0.0)
-    return np.where((sizes[own] == 1) | np.isinf(b), 0.0, s)
-
-
 def _silhouette_squared(rows: DataFrame) -> DataFrame:
     """Mean squared distance to a cluster follows from its size, mean and sum of squares."""
     from pyspark.ml.functions import vector_to_array
@@ -146,7 +123,7 @@ def _silhouette_squared(rows: DataFrame) -> DataFrame:
             sums = np.stack([sizes[j] * ((x - means[j]) ** 2).sum(axis=1) + spread[j]
                              for j in range(len(sizes))], axis=1)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(_score(sums, own, sizes))], names=["cluster", "s"])
+                [batch.column(0), pa.array(lloyd.score(sums, own, sizes))], names=["cluster", "s"])
 
     return rows.select("cluster", "v").mapInArrow(score, f"cluster {kind}, s double")
 
@@ -158,16 +135,10 @@ def overall_silhouette(scores: DataFrame) -> float | None:
 def k_sweep(df: DataFrame, key: str, features: str, ks: Sequence[int] = tuple(range(2, 11)),
             restarts: int = 20, seed: int = 42) -> DataFrame:
     """Inertia, its change and silhouette per k, and whether inertia ever rises."""
-    rows = df.select(key, as_vector(df, features).alias("features")).persist()
-    out = []
-    try:
-        for k in ks:
-            model, _ = kmeans_fit(rows, "features", k, restarts, seed)
-            labelled = model.transform(rows).select(key, "features", "prediction")
-            score = overall_silhouette(silhouette(labelled, key, "features", "prediction"))
-            out.append((int(k), float(model.summary.trainingCost), score))
-    finally:
-        rows.unpersist()
+    runs = lloyd.fit_many(df, features, ks, restarts, seed)
+    best = [lloyd.best_of(runs, k) for k in ks]
+    scores = lloyd.silhouettes(df, features, best)
+    out = [(int(k), run.cost, score) for k, run, score in zip(ks, best, scores)]
     table = df.sparkSession.createDataFrame(out, "k int, inertia double, silhouette double")
     whole = Window.partitionBy(F.lit(0))
     change = F.col("inertia") - F.lag("inertia").over(whole.orderBy("k"))
@@ -352,11 +323,8 @@ def ward_fit(df: DataFrame, key: str, features: str, k: int = 2, micro: int = 50
     """
     rows = df.select(key, as_array(df, features).alias("v"))
     model, _ = kmeans_fit(rows, "v", micro, restarts=1, seed=seed, max_iter=20)
-    placed = model.transform(rows.select(key, as_vector(rows, "v").alias("features")))
-    places = placed.select(key, F.col("prediction").alias("micro"))
-    counts = {r["micro"]: r["count"] for r in places.groupBy("micro").count().collect()}
-    centers = np.array(model.clusterCenters())
-    sizes = np.array([counts.get(i, 0) for i in range(len(centers))], dtype="float64")
+    places = rows.select(key, model.predict(F.col("v")).alias("micro"))
+    centers, sizes = model.centers, model.sizes
     keep = np.flatnonzero(sizes > 0)
     centers, sizes = centers[keep], sizes[keep]
     slot = F.array(*[F.lit(int(np.searchsorted(keep, i))) for i in range(int(keep.max()) + 1)])
