@@ -21,14 +21,13 @@ Empty tables give no phrases.
 
 from __future__ import annotations
 
-import math
-import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -36,12 +35,13 @@ from tallygrid.functions.scale import settle
 
 from .textkit import byte_planes, from_byte_planes, mix, pack, unpack
 
-CHUNK_BYTES = 12 << 20
-BUCKET_BYTES = 12 << 20
+CHUNK_BYTES = 6 << 20
+BUCKET_BYTES = 8 << 20
 LONGEST = 4
 LEAST = 30
 PART_WORDS = 1 << 20
 PATH_EDGES = 4096
+SALTS = 64
 
 #: What ends a piece, as bytes.
 PIECE_ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
@@ -54,14 +54,22 @@ COUNTED = "kind string, chunk bigint, lang string, id bigint, word string, n big
 STEP = "bucket int, found boolean, data binary"
 
 
+def _zip(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=5).compress(data)
+
+
+def _unzip(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
 def _squeeze(*arrays: np.ndarray) -> bytes:
     """Whole numbers as compressed byte planes, four bytes each where they fit."""
     small = [a.astype(np.uint32 if not len(a) or int(a.max()) < 1 << 32 else np.uint64) for a in arrays]
-    return zlib.compress(pack(np.array([a.itemsize for a in small]), *map(byte_planes, small)), 1)
+    return _zip(pack(np.array([a.itemsize for a in small]), *map(byte_planes, small)))
 
 
 def _plain(blob: bytes) -> list[np.ndarray]:
-    sizes, *columns = unpack(zlib.decompress(blob))
+    sizes, *columns = unpack(_unzip(blob))
     return [from_byte_planes(c, np.uint32 if s == 4 else np.uint64).astype(np.uint64) for s, c in zip(sizes, columns)]
 
 
@@ -81,7 +89,7 @@ def split_words(docs: DataFrame, text: str, lang: str, buckets: int, chunk_bytes
             for bucket, own in owner.items():
                 at = np.array([words[w] for w in own], np.uint64)
                 yield chunk, bucket, 0, name, pack(np.frombuffer(_squeeze(at, counts[at]), np.uint8),
-                                                   np.frombuffer(zlib.compress(b" ".join(own), 1), np.uint8))
+                                                   np.frombuffer(_zip(b" ".join(own)), np.uint8))
         for part, start in enumerate(range(0, len(every), PART_WORDS)):
             yield chunk, None, part, None, _squeeze(every[start:start + PART_WORDS])
 
@@ -106,7 +114,7 @@ def split_words(docs: DataFrame, text: str, lang: str, buckets: int, chunk_bytes
                 words = index.get(name)
                 if words is None:
                     words = index[name] = defaultdict(fresh)
-                places.append(np.array([0 if w == _STOP else words[w] for w in data.split()] + [0], np.uint64))
+                places.append(np.array([0 if w == _STOP else words[w] for w in data.split()] + [0], np.uint32))
                 size += len(data)
                 if size >= chunk_bytes:
                     yield flush()
@@ -129,19 +137,18 @@ def count_words(split: DataFrame, buckets: int, least: int) -> DataFrame:
         for chunk, lang, blob in sorted(zip(*(table.column(c).to_pylist() for c in ("chunk", "lang", "data"))), key=lambda r: r[:2]):
             numbers, words = unpack(blob)
             at, counts = _plain(numbers.tobytes())
-            words = zlib.decompress(words.tobytes()).split(b" ")
+            words = _unzip(words.tobytes()).split(b" ")
             own = totals[lang]
             for word, n in zip(words, counts.tolist()):
                 own[word] += n
             parts.append((chunk, lang, at, words))
-        numbers, out, given = {}, [], 0
-        for lang in sorted(totals):
-            own = numbers[lang] = {}
-            out.append(("total", None, lang, None, None, sum(totals[lang].values()), None))
-            for word, n in totals[lang].items():
-                if n >= least:
-                    out.append(("word", None, lang, 1 + bucket + buckets * given, word.decode(), n, None))
-                    own[word], given = out[-1][3], given + 1
+        numbers: dict[str, dict] = {lang: {} for lang in totals}
+        out = [("total", None, lang, None, None, sum(counts.values()), None) for lang, counts in totals.items()]
+        # frequent words get small numbers, which pack well
+        frequent = sorted((-n, lang, word) for lang, counts in totals.items() for word, n in counts.items() if n >= least)
+        for given, (n, lang, word) in enumerate(frequent):
+            numbers[lang][word] = 1 + bucket + buckets * given
+            out.append(("word", None, lang, numbers[lang][word], word.decode(), -n, None))
         for chunk, lang, at, words in parts:
             ids = np.array([numbers[lang].get(w, 0) for w in words], np.uint64)
             out.append(("places", chunk, lang, None, None, None, _squeeze(at[ids > 0], ids[ids > 0])))
@@ -158,16 +165,23 @@ def add_up(columns: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray],
     """Distinct rows in order and the sums of their counts."""
     if not len(n):
         return columns, n
-    values = [np.unique(c, return_inverse=True) for c in columns]
-    key, size = values[0][1].astype(np.uint64), len(values[0][0])
-    for known, place in values[1:]:
-        if size * len(known) >= 1 << 63:
-            ranks, key = np.unique(key, return_inverse=True)
-            key, size = key.astype(np.uint64), len(ranks)
-        key, size = key * np.uint64(len(known)) + place.astype(np.uint64), size * len(known)
-    order = np.argsort(key, kind="stable")
-    key = key[order]
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    keys: list[np.ndarray] = []
+    size = 1 << 63
+    for c in columns:
+        many = int(c.max()) + 1
+        if size * many < 1 << 63:
+            keys[-1] = keys[-1].astype(np.uint64) * np.uint64(many) + c
+            size *= many
+        else:
+            keys.append(c)
+            size = many
+    order = np.lexsort(keys[::-1]) if len(keys) > 1 else np.argsort(keys[0], kind="stable")
+    new = np.zeros(len(n), bool)
+    new[0] = True
+    for key in keys:
+        key = key[order]
+        new[1:] |= key[1:] != key[:-1]
+    first = np.flatnonzero(new)
     return [c[order[first]] for c in columns], np.add.reduceat(n[order], first)
 
 
@@ -192,19 +206,23 @@ def edges(split: DataFrame, counted: DataFrame, buckets: int) -> DataFrame:
 
     def grams(docs: pa.Table, answers: pa.Table) -> pa.Table:
         # parts of a chunk are pieces of one sequence
-        places = [_plain(blob)[0] for _, blob in sorted(zip(docs.column("part").to_pylist(), docs.column("data").to_pylist()))]
-        at = [_plain(blob.as_py()) for blob in answers.column("data")]
-        ids = np.zeros(1 + max((int(p.max()) for p in places if len(p)), default=0), np.uint64)
-        for place, number in at:
+        words = np.concatenate([*[_plain(blob)[0].astype(np.uint32) for _, blob in sorted(zip(
+            docs.column("part").to_pylist(), docs.column("data").to_pylist()))], np.zeros(LONGEST - 1, np.uint32)])
+        ids = np.zeros(1 + int(words.max()), np.uint64)
+        for blob in answers.column("data"):
+            place, number = _plain(blob.as_py())
             ids[place.astype(np.int64)] = number
-        words = np.concatenate([*[ids[p.astype(np.int64)] for p in places], np.zeros(LONGEST - 1, np.uint64)])
-        n = len(words) - LONGEST + 1
-        columns = [words[k:n + k].copy() for k in range(LONGEST)]
-        keep = (columns[0] > 0) & (columns[1] > 0)
-        columns = [c[keep] for c in columns]
+        words[ids[words] == 0] = 0
+        # grams of places, which are small; their distinct ones become grams of numbers
+        at = np.flatnonzero((words[:-LONGEST + 1] > 0) & (words[1:len(words) - LONGEST + 2] > 0))
+        columns = [words[at + k] for k in range(LONGEST)]
+        del at, words
         for k in range(2, LONGEST):
             columns[k][columns[k - 1] == 0] = 0
-        return _steps(_deal(*add_up(columns, np.ones(len(columns[0]), np.uint64)), buckets, False))
+        columns, n = add_up(columns, np.ones(len(columns[0]), np.uint32))
+        out = _steps(_deal([ids[c] for c in columns], n.astype(np.uint64), buckets, False))
+        pa.default_memory_pool().release_unused()
+        return out
 
     docs = split.where(F.col("bucket").isNull()).select("chunk", "part", "data")
     answers = counted.where("kind = 'places'").select("chunk", "data")
@@ -229,6 +247,7 @@ def flow(steps: DataFrame, width: int, buckets: int, least: int) -> DataFrame:
                 out.append((int(table.column("bucket")[0].as_py()), True, _squeeze(*[c[keep] for c in columns], n[keep])))
             if width > 2:
                 out += _deal(*add_up(columns[:-1], n), buckets, False)
+        pa.default_memory_pool().release_unused()
         return _steps(out)
 
     return steps.groupBy("bucket").applyInArrow(total, STEP)
@@ -266,18 +285,24 @@ def graph(docs: DataFrame, *, text: str = "text", lang: str = "lang", least: int
 
 # ---------------------------------------------------------------- paths
 
-def _follow(links: DataFrame, rounds: int) -> DataFrame:
+def _follow(links: DataFrame) -> DataFrame:
     """(edge, head, steps, lowest, done) by pointer doubling over (edge, before); edges of cycles are never done, starts have no head."""
     state = settle(links.select("edge", F.col("before").alias("head"), F.when(F.col("before").isNull(), 0).otherwise(1).cast("bigint").alias("steps"),
                                 F.least("edge", "before").alias("lowest"), F.col("before").isNull().alias("done")))
-    for _ in range(rounds):
-        if not state.where("NOT done").limit(1).count():
-            break
+    def double(state: DataFrame) -> DataFrame:
         back = state.select(F.col("edge").alias("head"), F.col("head").alias("further"), F.col("steps").alias("more"), F.col("lowest").alias("low"), F.col("done").alias("last"))
-        state = settle(state.join(back, "head", "left").select(
+        return state.join(back, "head", "left").select(
             "edge", F.when(F.col("done"), F.col("head")).otherwise(F.coalesce("further", "head")).alias("head"),
             F.when(F.col("done"), F.col("steps")).otherwise(F.col("steps") + F.col("more")).alias("steps"),
-            F.when(F.col("done"), F.col("lowest")).otherwise(F.least("lowest", "low")).alias("lowest"), (F.col("done") | F.col("last")).alias("done")))
+            F.when(F.col("done"), F.col("lowest")).otherwise(F.least("lowest", "low")).alias("lowest"), (F.col("done") | F.col("last")).alias("done"))
+
+    before = None
+    while True:
+        now = state.where("NOT done").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("edge", "lowest")).alias("h")).first()
+        # each doubling finishes more of every open chain: when nothing moves, whole cycles are left, each with its smallest edge
+        if not now["n"] or now == before:
+            break
+        before, state = now, settle(double(double(state)))
     return state
 
 
@@ -293,14 +318,14 @@ def paths(found: DataFrame, path_edges: int = PATH_EDGES) -> DataFrame:
     into = rows.groupBy(F.col("tip").alias("node")).agg(F.count(F.lit(1)).alias("n_in"), F.min("edge").alias("before"))
     out = rows.groupBy(F.col("tail").alias("node")).agg(F.count(F.lit(1)).alias("n_out"), F.min("edge").alias("edge"))
     inner = into.where("n_in = 1").join(out.where("n_out = 1"), "node").select("edge", "before")
-    links = settle(rows.select("edge").join(inner, "edge", "left"))
-    rounds = math.ceil(math.log2(max(2, rows.count()))) + 1
-    state = _follow(links, rounds)
+    # an edge that follows itself is a path of its own
+    links = settle(rows.select("edge").join(inner.where("edge != before"), "edge", "left"))
+    state = _follow(links)
     circles = state.where("NOT done")
-    if circles.limit(1).count():
+    if not circles.isEmpty():
         opened = circles.select("edge", "lowest").join(links, "edge").select(
             "edge", F.when(F.col("edge") != F.col("lowest"), F.col("before")).alias("before"))
-        state = state.where("done").unionByName(_follow(opened, rounds))
+        state = state.where("done").unionByName(_follow(opened))
     placed = state.select("edge", F.coalesce("head", "edge").alias("head"), "steps", F.floor(F.col("steps") / path_edges).alias("piece"))
     return (placed.join(rows.select("edge", "n"), "edge").groupBy("head", "piece")
             .agg(F.array_sort(F.collect_list(F.struct("steps", "edge", "n"))).alias("e"))
@@ -353,7 +378,9 @@ def collocations(docs: DataFrame, *, text: str = "text", lang: str = "lang", lea
     scored = weakest.select("phrase", "a", "cut.l", "cut.r", "cut.score", F.col("phrase")[0].alias("id")).join(words.select("id", "lang"), "id")
     # ties beyond the last rank stay until the words are known
     by_lang = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
-    near = scored.withColumn("place", F.rank().over(by_lang)).where(F.col("place") <= top)
+    salted = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(SALTS))).orderBy(F.desc("score"), F.desc("a"))
+    near = scored.withColumn("place", F.rank().over(salted)).where(F.col("place") <= top)
+    near = near.withColumn("place", F.rank().over(by_lang)).where(F.col("place") <= top)
     spelled = near.select("phrase", F.posexplode("phrase").alias("at", "id")).join(words.select("id", "word"), "id").groupBy("phrase").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "word"))), lambda s: s["word"]), " ").alias("text"))
     ranked = near.join(spelled, "phrase").withColumn("rank", F.row_number().over(
