@@ -12,7 +12,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.columns import count_if, percent, ratio, unpivot_values
-from ..functions.quantiles import quantiles
+from ..functions.radix import quantiles
 from ..functions.vectors import as_array, as_vector, lists, matrix
 from . import lloyd
 from .features import inverse_scale
@@ -206,8 +206,13 @@ def centroids_original(centroids: DataFrame, train: DataFrame, cols: Sequence[st
 
 def group_target_stats(df: DataFrame, group: str, target: str) -> DataFrame:
     x = F.col(target).cast("double")
-    q = quantiles(df, [group], target, [0.25, 0.5, 0.75], extra=[
-        F.min(x).alias("min"), F.avg(x).alias("mean"), F.max(x).alias("max")])
+    # two columns, read by every counting pass; the result needs them no more
+    rows = df.select(group, target).persist()
+    try:
+        q = quantiles(rows, [group], target, [0.25, 0.5, 0.75], extra=[
+            F.min(x).alias("min"), F.avg(x).alias("mean"), F.max(x).alias("max")])
+    finally:
+        rows.unpersist()
     total = F.sum("n").over(Window.partitionBy(F.lit(0)))
     return q.select(F.col(group).alias("group"), F.col("n").alias("count"),
                     percent(F.col("n"), total).alias("pct"), "min", F.col("q")[0].alias("q1"),

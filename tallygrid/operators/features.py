@@ -10,7 +10,7 @@ from pyspark.ml.pipeline import PipelineModel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import kind_of, ratio, unpivot_values
-from ..functions.quantiles import quantiles
+from ..functions.radix import quantiles
 from .profile import missing_summary
 
 # Fixed values of the preparation: the fill text for categories and its category limit.

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.columns import count_if, kind_of, percent, ratio, unpivot_values
-from ..functions.quantiles import quantiles
+from ..functions.radix import quantiles
 from .features import medians
 from .profile import cardinality_summary, missing_summary
 

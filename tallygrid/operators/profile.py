@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..functions.columns import (count_if, kind_of, numeric_columns, percent, ratio,
                                  stack_columns, unpivot_values)
-from ..functions.quantiles import ACCURACY, quantiles
+from ..functions.radix import quantiles
 from ..functions.scale import attach, settle
 
 
@@ -111,14 +111,13 @@ def sample_skewness(column: F.Column | str, n: F.Column) -> F.Column:
     return F.when(m > 2, F.skewness(column) * F.sqrt(m * (m - 1)) / F.nullif(m - 2, F.lit(0.0)))
 
 
-def numeric_profile(df: DataFrame, cols: Sequence[str] | None = None,
-                    accuracy: int = ACCURACY) -> DataFrame:
-    """Fifteen statistics per numeric column in two scans, whatever the column count."""
+def numeric_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """Fifteen statistics per numeric column: one scan, and two to four counting scans for the quartiles, whatever the column count."""
     cols = list(cols or numeric_columns(df))
     long = unpivot_values(df, cols, "double")
     x = F.col("value")
     base = quantiles(
-        long, ["variable"], "value", [0.25, 0.5, 0.75], accuracy=accuracy, extra=[
+        long, ["variable"], "value", [0.25, 0.5, 0.75], extra=[
             F.count(F.lit(1)).alias("_rows"),
             F.min(x).alias("min"), F.avg(x).alias("mean"), F.max(x).alias("max"),
             F.stddev_samp(x).alias("std"),
