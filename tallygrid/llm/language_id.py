@@ -22,12 +22,12 @@ any name.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .textkit import Bytes, letter_grams, slices
@@ -38,7 +38,8 @@ BUCKETS = 1 << 18
 WIDTH = 16
 UNDETERMINED = "und"
 
-_any_letter = re.compile(r"[^\W\d_]")
+#: A letter by Unicode category; number signs such as ½ are none.
+_any_letter = regex.compile(r"\p{L}")
 
 
 @dataclass

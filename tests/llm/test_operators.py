@@ -315,6 +315,7 @@ def test_mixing_is_a_probability():
     counts[[97, 98, 256]] = 1e6
     model = mixing.Model.blank(mixing.Tree(counts))
     model.learn_counts(learn)
+    model.tables = [mixing.in_bytes(t) for t in model.tables]  # as in fitting, where counts travel as bytes
     model.learn_weights(learn)
     model.learn_refinement(learn)
     texts = ["".join(w) for n in range(9) for w in itertools.product("ab", repeat=n)]
@@ -367,6 +368,8 @@ def test_language_id(spark, special, nothing):
     assert language_id.predict(special, model).count() == len(SPECIAL)
     assert all(seen[i]["lang_pred"] == "und" and seen[i]["rejected"] and seen[i]["score"] == 0 for i in (1, 2, 3, 12))
     assert all(0 <= r["score"] <= 1 for r in seen.values())
+    signs = special.sparkSession.createDataFrame([(1, "½ ²"), (2, "Ⅷ ٣ _"), (3, "½ a")], "doc_id bigint, text string")
+    assert {r["doc_id"]: r["lang_pred"] == "und" for r in language_id.predict(signs, model).collect()} == {1: True, 2: True, 3: False}
     kept = language_id.accept(special, model)
     assert kept.columns == special.columns and kept.count() == sum(not r["rejected"] for r in language_id.predict(special, model).collect())
     assert language_id.fit(nothing, F.lit(True)) is None
