@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scale import settle
-from .rows import row_key
+from .rows import row_key, unused
 from .textkit import IS_ALNUM, Bytes, shingle_hash, slices, span_hash
 
 WINDOW = 13
@@ -239,8 +239,9 @@ def is_contaminated() -> Column:
 
 def clean(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, unchanged."""
-    bad = contamination(docs, items, doc_id=doc_id, text=text, **options).where(is_contaminated()).select("row").distinct()
-    return docs.withColumn("_row", row_key(doc_id, text)).join(bad, F.col("_row") == bad["row"], "left_anti").select(*docs.columns)
+    bad = contamination(docs, items, doc_id=doc_id, text=text, **options).where(is_contaminated())
+    row = unused(docs, "row")
+    return docs.withColumn(row, row_key(doc_id, text)).join(bad.select(F.col("row").alias(row)).distinct(), row, "left_anti").select(*docs.columns)
 
 
 def report(docs: DataFrame, items: DataFrame, **options) -> DataFrame:

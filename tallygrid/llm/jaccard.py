@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scale import release, settle
 from . import chunks as ch
-from .rows import row_key
+from .rows import row_key, unused
 from .textkit import IS_SPACE, Bytes, byte_planes, from_byte_planes, from_planes, pack, planes, shingle_hash, slices, span_hash, unpack
 
 WIDTH = 5
@@ -294,6 +294,7 @@ def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **o
     """
     rows = membership(docs, doc_id=doc_id, text=text, **options)
     kept = rows.groupBy(F.coalesce("root", "row").alias("root")).agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")).select(F.col("first.row").alias("_kept"))
-    keyed = docs.withColumn("_row", row_key(doc_id, text))
-    return keyed.join(kept, F.col("_row") == F.col("_kept"), "left_semi").dropDuplicates(["_row"]).select(*docs.columns)
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"))
+    row = unused(docs, "row")
+    keyed = docs.withColumn(row, row_key(doc_id, text))
+    return keyed.join(kept.select(F.col("first.row").alias(row)), row, "left_semi").dropDuplicates([row]).select(*docs.columns)

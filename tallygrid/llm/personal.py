@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scale import settle
 from . import spans as sp
-from .rows import row_key
+from .rows import row_key, unused
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
@@ -230,14 +230,14 @@ def report(docs: DataFrame, **options) -> DataFrame:
 def sanitise(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", remove_at: float = REMOVE_AT,
              **options) -> DataFrame:
     """The input with base spans replaced by <kind>, and terms generalised to <kind> or removed."""
+    row, base, terms = (unused(docs, name) for name in ("row", "base", "terms"))
     found = find(docs, doc_id=doc_id, text=text, **options).dropDuplicates(["row"]).select(
-        "row", F.col("base").alias("_base"), F.col("terms").alias("_terms"))
-    keyed = docs.withColumn("row", row_key(doc_id, text))
-    rows = keyed.join(found, "row")
+        F.col("row").alias(row), F.col("base").alias(base), F.col("terms").alias(terms))
+    rows = docs.withColumn(row, row_key(doc_id, text)).join(found, row)
     spans = F.concat(
-        F.transform("_base", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"),
-                                                F.concat(F.lit("<"), s["kind"], F.lit(">")).alias("by"))),
-        F.transform("_terms", lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), F.when(
+        F.transform(base, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"),
+                                             F.concat(F.lit("<"), s["kind"], F.lit(">")).alias("by"))),
+        F.transform(terms, lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), F.when(
             t["disclosure"] >= remove_at, "").otherwise(F.concat(F.lit("<"), t["of"], F.lit(">"))).alias("by"))))
     return rows.withColumn(text, F.when(F.col(text).isNotNull(), sp.replaced(F.col(text), spans, lambda s: s["by"]))) \
         .select(*docs.columns)

@@ -1,16 +1,21 @@
 """Secret scans: known patterns, and sliding-window entropy per character class.
 
 Everything is a DataFrame expression. Besides the base patterns a candidate is a
-run of at least ``WINDOW`` characters of tokens (letters, digits, + / _ = -). Its
-class is the narrowest of the four that holds it; runs of letters only or digits
-only have no class. A window of ``WINDOW`` characters slides over the candidate;
-entering and leaving characters change the counts and the sum of c*log2(c) by one
-step each, which gives every window's Shannon entropy. A candidate whose highest
-window reaches its class's bound is reported as ``entropy``, unless the allow list
-matches it or a base span overlaps it.
+run of at least ``WINDOW`` characters of tokens (letters, digits, + / _ = -) in what
+the base spans leave of the text. A run is made of segments, which = and / part; a
+segment that the allow list matches is taken out, and what is left of the run on
+either side is judged by itself where it still has ``WINDOW`` characters.
+
+Every candidate has a class, the first of ``CLASSES`` that fits it. A window of
+``WINDOW`` characters slides over the candidate; entering and leaving characters
+change the counts and the sum of c*log2(c) by one step each, which gives every
+window's Shannon entropy. A candidate whose highest window reaches its class's bound
+is reported as ``entropy``. Digits alone cannot reach theirs: every long number would.
 
 Rows: every input row gives one row; a null text counts as empty and has no spans;
-repeated rows are repeated. Only the id and text columns are read.
+repeated rows are repeated; an empty table gives an empty one; long texts are read
+whole. Base spans of two kinds may overlap, entropy spans overlap none. Only the id
+and text columns are read; ``redact`` keeps all columns, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,6 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 from . import spans as sp
+from .rows import unused
 
 KINDS = ("assign", "access", "hex")
 ENTROPY = "entropy"
@@ -32,13 +38,21 @@ HEX = "(?<![0-9a-f])[0-9a-f]{32,}+"
 
 WINDOW = 20
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-CANDIDATE = f"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{WINDOW},}}+"
-#: Class, what its strings look like, and the least entropy in bits of a window.
+#: A run of token characters whose first one does not part segments.
+CANDIDATE = f"(?<![A-Za-z0-9+_-])[A-Za-z0-9+_-][A-Za-z0-9+/_=-]{{{WINDOW - 1},}}+"
+SEGMENT = "[^=/]++"
+#: A letter beside a digit.
+_CHANGE = "[0-9][A-Za-z]|[A-Za-z][0-9]"
+#: Class, what its strings look like, and the least entropy in bits of a window (20 different characters have 4.32).
 CLASSES = (
+    ("digits", "^[0-9]+$", 3.33),
     ("hex", "^(?=.*[0-9])(?=.*[a-fA-F])[0-9a-fA-F]+$", 3.0),
     ("lower", "^(?=.*[0-9])(?=.*[a-z])[a-z0-9]+$", 3.5),
     ("upper", "^(?=.*[0-9])(?=.*[A-Z])[A-Z0-9]+$", 3.5),
     ("mixed", "^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z]).+$", 3.8),
+    ("signed", f"^(?:(?:(?!{_CHANGE}).)*+(?:{_CHANGE})){{4}}", 3.7),
+    ("letters", "^[A-Za-z]+$", 3.9),
+    ("other", "^", 4.1),
 )
 ALLOWED = (
     "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
@@ -85,24 +99,41 @@ def window_entropy(candidate: Column) -> Column:
 
 
 def is_random(candidate: Column) -> Column:
-    """True if a class fits, its entropy bound is reached and no allow-list pattern matches."""
-    bound = None
-    for _, pattern, least in CLASSES:
-        bound = F.when(candidate.rlike(pattern), least) if bound is None else bound.when(candidate.rlike(pattern), least)
+    """True if the entropy bound of the candidate's class is reached."""
+    bound = F.lit(None).cast("double")
+    for _, pattern, least in reversed(CLASSES):
+        bound = F.when(candidate.rlike(pattern), least).otherwise(bound)
+    return window_entropy(candidate) >= bound
+
+
+def is_allowed(segment: Column) -> Column:
     benign = F.lit(False)
     for pattern in ALLOWED:
-        benign = benign | candidate.rlike(pattern)
-    return F.when(bound.isNull() | benign, False).otherwise(window_entropy(candidate) >= bound)
+        benign = benign | segment.rlike(pattern)
+    return benign
+
+
+def _parts(run: Column) -> Column:
+    """What is left of a run without its allowed segments, as spans of the text."""
+    allowed = F.filter(sp.find_all(run["match"], SEGMENT, ENTROPY), lambda s: is_allowed(s["match"]))
+    left = F.when(F.size(allowed) == 0, F.array(run)).otherwise(sp.moved(
+        sp.find_all(sp.blanked(run["match"], allowed), CANDIDATE, ENTROPY), run["start"]))
+    return F.when(is_allowed(run["match"]) | run["match"].rlike("[=/]"), left).otherwise(F.array(run))
+
+
+def _found(rows: DataFrame, text: Column, base: str, more: str) -> DataFrame:
+    """Adds the columns ``base`` and ``more``: base spans and entropy spans."""
+    rows = rows.withColumn(base, base_spans(text))
+    rows = rows.withColumn(more, sp.blanked(text, F.col(base)))
+    rows = rows.withColumn(more, sp.find_all(F.col(more), CANDIDATE, ENTROPY))
+    parts = F.flatten(F.transform(F.col(more), _parts))
+    return rows.withColumn(more, F.when(F.size(more) == 0, sp.none()).otherwise(F.filter(parts, lambda c: is_random(c["match"]))))
 
 
 def scan(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The input's id and text with ``base`` and ``found`` (base and entropy spans, by start, then kind)."""
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = rows.withColumn("base", base_spans(F.col("text"))) \
-        .withColumn("candidates", sp.find_all(F.col("text"), CANDIDATE, ENTROPY))
-    free = F.filter("candidates", lambda c: ~F.exists("base", lambda b: sp.overlaps(b, c)))
-    rows = rows.withColumn("more", F.when(F.size("candidates") == 0, sp.none())
-                           .otherwise(F.filter(free, lambda c: is_random(c["match"]))))
+    rows = _found(rows, F.col("text"), "base", "more")
     order = (*KINDS, ENTROPY)
     return rows.select("doc_id", "text", sp.in_order(F.col("base"), order, False).alias("base"),
                        sp.in_order(F.concat("base", "more"), order, False).alias("found"))
@@ -117,9 +148,7 @@ def report(docs: DataFrame, **columns: str) -> DataFrame:
 
 def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """The input with every found secret replaced by ``mark``; columns and null texts stay."""
-    row = F.coalesce(F.col(text), F.lit(""))
-    held = docs.withColumn("_base", base_spans(row)).withColumn("_seen", sp.find_all(row, CANDIDATE, ENTROPY))
-    free = F.filter("_seen", lambda c: ~F.exists("_base", lambda b: sp.overlaps(b, c)) & is_random(c["match"]))
-    held = held.withColumn("_all", F.concat("_base", F.when(F.size("_seen") == 0, sp.none()).otherwise(free)))
-    return held.withColumn(text, F.when(F.col(text).isNotNull(), sp.replaced(F.col(text), F.col("_all"), lambda s: F.lit(mark)))) \
-        .drop("_base", "_seen", "_all")
+    base, more = unused(docs, "base"), unused(docs, "more")
+    held = _found(docs, F.coalesce(F.col(text), F.lit("")), base, more)
+    return held.withColumn(text, F.when(F.col(text).isNotNull(), sp.replaced(F.col(text), F.concat(base, more), lambda s: F.lit(mark)))) \
+        .select(*docs.columns)

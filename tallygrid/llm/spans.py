@@ -74,3 +74,23 @@ def replaced(text: Column, spans: Column, by) -> Column:
 
     return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(
         ordered, start, step, lambda state: F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text)))))
+
+
+def blanked(text: Column, spans: Column) -> Column:
+    """Text with every code point inside a span replaced by a space; places stay."""
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(state: Column, s: Column) -> Column:
+        begin, end = F.greatest(state["at"], s["start"]), F.greatest(state["at"], s["end"])
+        gap = F.substring(text, state["at"] + 1, begin - state["at"])
+        return F.struct(end.alias("at"), F.concat(state["out"], gap, F.repeat(F.lit(" "), end - begin)).alias("out"))
+
+    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(
+        ordered, start, step, lambda state: F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text)))))
+
+
+def moved(spans: Column, by: Column) -> Column:
+    """Spans ``by`` code points further on."""
+    return F.transform(spans, lambda s: F.struct((s["start"] + by).alias("start"), (s["end"] + by).alias("end"),
+                                                 s["kind"].alias("kind"), s["match"].alias("match")))

@@ -227,6 +227,49 @@ def test_entropy_spans_and_allow_list(spark):
     assert list(map(got.get, range(len(texts)))) == list(texts.values())
 
 
+def test_a_class_for_every_candidate(spark):
+    """Text and the entropy spans due: signs, letters only, allowed neighbours, rests beside base spans, and prose without secrets."""
+    key = "Zq7Lp0Xw9Rt4Vb2Nm8Kd"
+    right = "wJ4rXUt9FEMI3K7MDENG8bPxRfiCYq2LZKEYp5Ta"
+    due = {
+        "key-3ax6xnjp29jd6fds4gc373sgvjxteol0": [(0, 36)], "QzRtYpLkJhGfDsAmNbVcXzWq": [(0, 24)],
+        "ZQ7LP-0XW9R-T4VB2-NM8KD-8JQ2L": [(0, 29)], f"sample_key={key}": [(11, 31)], f"example-app/{key}": [(12, 32)],
+        "AKIA" + "Q7RT" * 4 + "/" + right: [(21, 61)], f"{key}/example-app": [(0, 21)], f"🙂 {key}": [(2, 22)],
+        "f3a9" * 5 + "b7": [], "7c9e21ab40d8f3651b7e": [(0, 20)], "a7k2m9x4p1q8z3w6n5b0": [(0, 20)],
+        "some-long-hyphenated-words-and-more": [], "2024-05-06-a-title-of-some-page": [], "314159265358979323846264338": [],
+        "123e4567-e89b-12d3-a456-426614174000": [], "----------------------------": [], "donaudampfschifffahrtsgesellschaft": [],
+    }
+    docs = spark.createDataFrame([(n, t) for n, t in enumerate(due)], "doc_id bigint, text string")
+    got = {r["doc_id"]: [(x["start"], x["end"]) for x in r["found"] if x["kind"] == "entropy"] for r in secrets.scan(docs).collect()}
+    assert {t: got[n] for n, t in enumerate(due)} == due
+    masked = [r["text"] for r in secrets.redact(docs).orderBy("doc_id").collect()]
+    assert masked[3] == "sample_key=[SECRET]" and masked[5] == "[SECRET]/[SECRET]" and masked[11:] == list(due)[11:]
+
+
+def test_random_keys_are_found(spark):
+    """At least nine of ten random keys of 32 characters in every alphabet."""
+    rng = random.Random(12)
+    low, up, digits = secrets.ALPHABET[26:52], secrets.ALPHABET[:26], secrets.ALPHABET[52:62]
+    alphabets = [digits + "abcdef", low + digits, up + digits, low + digits + "-", up + digits + "_", low + up, low + up + digits, secrets.ALPHABET]
+    docs = spark.createDataFrame([(k, "".join(rng.choice(a) for _ in range(32))) for k, a in enumerate(alphabets) for _ in range(60)],
+                                 "doc_id bigint, text string")
+    got = {r["doc_id"]: r["share"] for r in secrets.scan(docs).groupBy("doc_id").agg(
+        F.avg((F.size("found") > 0).cast("int")).alias("share")).collect()}
+    assert all(got[k] >= 0.9 for k in range(len(alphabets))), got
+
+
+def test_columns_of_any_name_stay(spark):
+    """Operators that return their input's columns leave columns of the names they use themselves as they are."""
+    names = ("row", "_row", "base", "_base", "terms", "more", "_seen", "_all", "_kept", "first", "root", "doc", "key")
+    docs = spark.createDataFrame([(n, t, *range(7, 7 + len(names))) for n, t in enumerate(
+        [None, "", "write to kim@site.org now please", "token=abcdefgh12 and a few more words", PASSAGE])],
+        "doc_id bigint, text string, " + ", ".join(f"{c} int" for c in names))
+    items = spark.createDataFrame([(1, prose(77, 40), 3)], "item_id bigint, text string, row int")
+    for out in (personal.sanitise(docs), secrets.redact(docs), jaccard.keep_one(docs), decontaminate.clean(docs, items)):
+        assert out.dtypes == docs.dtypes and out.count() == docs.count()
+        assert {tuple(r)[2:] for r in out.collect()} == {tuple(range(7, 7 + len(names)))}
+
+
 @pytest.mark.parametrize("name", ["special", "documents", "nothing"])
 def test_personal(request, name):
     docs = request.getfixturevalue(name)
