@@ -33,7 +33,10 @@ def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return secrets.redact(docs).withColumn("n_chars", F.coalesce(F.length("text").cast("bigint"), F.col("n_chars"))).select(*docs.columns)
+    masked = secrets.redact(docs)
+    if "n_chars" not in docs.columns:
+        return masked
+    return masked.withColumn("n_chars", F.coalesce(F.length("text").cast("bigint"), F.col("n_chars"))).select(*docs.columns)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
