@@ -96,12 +96,12 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op8_top_k": """
-WITH v AS (SELECT vec_id, min([CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding]) AS e
+WITH v AS (SELECT row_number() OVER () AS own, vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS e
            FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-             AND len([1 for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0 GROUP BY vec_id),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum([p[1] * p[2] for p in list_zip(q.e, c.e)]) AS BIGINT) AS score
-      FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0),
-r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+             AND len([1 for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT q.own, q.vec_id AS query_id, c.vec_id, CAST(list_sum([p[1] * p[2] for p in list_zip(q.e, c.e)]) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.own <> c.own AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY own ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
     "op12_phrases": r"""
 WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(

@@ -138,14 +138,11 @@ def secrets(text):
 
 def top_k(vectors, k=10):
     """(query_id, rank, vec_id, score)"""
-    rows = {}
-    for i, v in vectors:
-        if i is not None and v and all(x is not None and math.isfinite(x) for x in v):
-            v = [math.floor(1024 * x) for x in v]
-            rows[i] = min(rows.get(i, v), v)
+    rows = [(i, [math.floor(1024 * x) for x in v]) for i, v in vectors
+            if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for q in rows:
+    for own, (q, a) in enumerate(rows):
         if q % 100 == 0:
-            found = sorted((-sum(a * b for a, b in zip(rows[q], v)), i) for i, v in rows.items() if i != q and len(v) == len(rows[q]))
+            found = sorted((-sum(x * y for x, y in zip(a, b)), i) for n, (i, b) in enumerate(rows) if n != own and len(a) == len(b))
             out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(found[:k])]
     return out

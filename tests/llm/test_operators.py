@@ -318,17 +318,27 @@ def test_top_k(spark):
     rng = random.Random(3)
     vectors = [(i, [rng.choice([-1.0, 0.0, 0.5]) for _ in range(6)]) for i in range(700)]
     vectors += [(700, None), (800, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (900, [float("nan")] + [0.0] * 5), (1000, [float("inf")] + [0.0] * 5),
-                (1100, []), (1200, [1.0, 2.0]), (1300, [2.0, 1.0]), (None, [1.0] * 6), (100, vectors[100][1]), (200, [9.0] * 6)]
+                (1100, []), (1200, [1.0, 2.0]), (1300, [2.0, 1.0]), (None, [1.0] * 6), (100, vectors[100][1]), (200, [9.0] * 6),
+                *[(5, [3.0] * 6)] * 13, *[(300, [2.0, 0.0, 0.0, 0.0, 0.0, 1.0])] * 3]
     df = spark.createDataFrame([(i, v, 1, 2) for i, v in vectors], "vec_id bigint, embedding array<double>, shard int, v int")
     got = top_k.search(df, F.col("vec_id") % 100 == 0, 10, shard_rows=40, group_queries=3, fan_in=3)
     assert rows(got, "query_id", "rank", "vec_id", "score") == ordered(plain.top_k(vectors))
     assert not top_k.search(df.where("false"), F.col("vec_id") % 100 == 0).count()
 
 
+def test_top_k_rows_of_one_id(spark):
+    df = spark.createDataFrame([(1, [1.0, 1.0]), (1, [9.0, 1.0]), (100, [1.0, 0.0]), (100, [2.0, 0.0])], "vec_id bigint, embedding array<double>")
+    got = top_k.search(df, F.col("vec_id") % 100 == 0, 2)
+    unit = 1024 * 1024
+    assert rows(got, "query_id", "rank", "vec_id", "score") == ordered(
+        [(100, 1, 1, 9 * unit), (100, 2, 100, 2 * unit), (100, 1, 1, 18 * unit), (100, 2, 1, 2 * unit)])
+
+
 def test_top_k_huge_components(spark):
     vectors = [(0, [1e8, 3.0]), (1, [1e4, 1.0]), (2, [1e4, 2.0]), (3, [-1e30, 0.0])]
     df = spark.createDataFrame(vectors, "vec_id bigint, embedding array<double>")
     got = top_k.search(df, F.col("vec_id") == 0).collect()
+    assert not any(r["query_id"] != 0 for r in got)
     assert [r["vec_id"] for r in sorted(got, key=lambda r: r["rank"])] == [2, 1, 3]
 
 
