@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .textkit import pack, unpack
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 BUCKET_BYTES = 32 << 20
 
 BLOCK = "bucket int, chunk int, stage int, data binary"
@@ -64,16 +64,18 @@ def ask(rows: DataFrame, fn: Callable[[pa.Table, int, list[np.ndarray]], pa.Tabl
     """Run ``fn(documents, chunk, answers by stage)`` for every chunk; ``plain(stage, columns)`` decodes a block."""
 
     def alone(table: pa.Table) -> pa.Table:
+        give_back()
         return fn(table, table.column("chunk")[0].as_py(), [])
 
     def answered(table: pa.Table, blocks: pa.Table) -> pa.Table:
+        give_back()
         got: dict[int, list] = {}
         for stage, bucket, data in zip(*(blocks.column(c).to_pylist() for c in ("stage", "bucket", "data"))
                                        ) if blocks.num_rows else ():
             got.setdefault(stage, []).append((bucket, data))
         if not table.num_rows:
             raise ValueError("an answer for a chunk without documents")
-        parts = [unpack_all([d for _, d in sorted(got.get(s, []))], plain and partial(plain, s)) for s in range(max(got, default=-1) + 1)]
+        parts = [unpack_all([d for _, d in sorted(got.pop(s, []))], plain and partial(plain, s)) for s in range(max(got, default=-1) + 1)]
         return fn(table, table.column("chunk")[0].as_py(), parts)
 
     if answers is None:
@@ -81,6 +83,11 @@ def ask(rows: DataFrame, fn: Callable[[pa.Table, int, list[np.ndarray]], pa.Tabl
     return rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(answered, schema)
 
 
+def give_back() -> None:
+    """Hand memory that earlier groups no longer use back to the system; workers live as long as the executor."""
+    pa.default_memory_pool().release_unused()
+
+
 def unpack_all(blobs: list[bytes], plain: Callable | None = None) -> list[np.ndarray]:
     """Columns of several blocks, end to end."""
     parts = [plain(unpack(b)) if plain else unpack(b) for b in blobs]
@@ -91,6 +98,7 @@ def answer(asked: DataFrame, fn: Callable[[list[np.ndarray], np.ndarray], list[n
     """Run ``fn(columns, chunk of each entry)`` for every bucket; it returns columns in the same order."""
 
     def run(table: pa.Table) -> pa.Table:
+        give_back()
         # blocks in order of their chunk, so that results do not depend on how they arrived
         order = np.argsort(table.column("chunk").to_numpy(), kind="stable")
         chunks = table.column("chunk").to_numpy()[order]

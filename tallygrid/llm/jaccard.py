@@ -69,6 +69,14 @@ def _level(count: np.ndarray) -> np.ndarray:
     return np.where(count < 2, 0, 1 + np.floor(np.log2(np.maximum(count, 1)))).astype(np.uint8)
 
 
+def _lists(arrays: list[np.ndarray | None]) -> pa.Array:
+    """Whole numbers as a list column, without a Python object for each."""
+    sizes = [0 if a is None else len(a) for a in arrays]
+    values = np.concatenate([np.zeros(0, np.int64), *[a for a in arrays if a is not None]])
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(values),
+                                    mask=pa.array([a is None for a in arrays], pa.bool_()))
+
+
 def sets_with_index(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCENT, doc_id: str = "doc_id",
                     text: str = "text", chunk_bytes: int = 2 * ch.CHUNK_BYTES, bucket_bytes: int = ch.BUCKET_BYTES // 2) -> DataFrame:
     """(doc_id, row, class, n, tokens, shorts, bits, members) per document.
@@ -117,15 +125,16 @@ def sets_with_index(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCE
                 order = np.argsort(own, kind="stable")[:n - ceil(percent * n / 100) + 1]
                 shared = own[order] > 0
                 if shared.any():
-                    tokens = s[order[shared]].view(np.int64).tolist()
+                    tokens = s[order[shared]].view(np.int64)
                     shorts = int(shared[:n - ceil(2 * percent * n / (100 + percent)) + 1].sum())
                     mark = np.zeros(64 * BIT_WORDS, np.uint8)
                     mark[s & np.uint64(64 * BIT_WORDS - 1)] = 1
-                    bits, members = np.packbits(mark).view(np.int64).tolist(), s.tobytes()
+                    bits, members = np.packbits(mark).view(np.int64), s.tobytes()
             for c, v in zip(out, (name, n, tokens, shorts, bits, members)):
                 out[c].append(v)
-        return pa.Table.from_arrays([*[table.column(c).combine_chunks() for c in ("doc_id", "row")], *[pa.array(out[c], t) for c, t in zip(out, (
-            pa.string(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.list_(pa.int64()), pa.binary()))]],
+        return pa.Table.from_arrays([*[table.column(c).combine_chunks() for c in ("doc_id", "row")], *[
+            _lists(out[c]) if t is None else pa.array(out[c], t) for c, t in zip(out, (
+                pa.string(), pa.int64(), None, pa.int32(), None, pa.binary()))]],
             names=["doc_id", "row", *out])
 
     answers = ch.ask(rows, ask).groupBy("bucket").applyInArrow(frequency, ch.BLOCK)

@@ -137,20 +137,20 @@ def _keys(found: list[Stretches]) -> tuple[np.ndarray, np.ndarray, tuple]:
 
 
 def _strings(parts: list[pa.RecordBatch], found: list[Stretches], picked: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """Names of the strings in the picked stretches, with their slice and first byte."""
-    names, places, of = [], [], []
+    """Names of the strings in the picked stretches and their first bytes, slice by slice, and how many each slice has."""
+    names, places, many = [], [], []
     done = 0
-    for i, (part, s) in enumerate(zip(parts, found)):
+    for part, s in zip(parts, found):
         own = picked[done:done + len(s.first)]
         done += len(s.first)
         if own.any():
             first, n = s.first[own], s.last[own] - s.first[own] + 1
             at = np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
             names.append(span_hash(Bytes(part.column(1)).prefix(), at, at + length))
-            places.append(at)
-            of.append(np.full(len(at), i))
+            places.append(at.astype(np.uint32))
+        many.append(n.sum() if own.any() else 0)
     join = lambda x, t: np.concatenate(x) if x else np.zeros(0, t)
-    return join(names, np.uint64), join(places, np.int64), join(of, np.int64)
+    return join(names, np.uint64), join(places, np.uint32), np.array(many, np.int64)
 
 
 def remove_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, doc_id: str = "doc_id", text: str = "text",
@@ -181,18 +181,19 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, d
     def finish(table: pa.Table, chunk: int, answers: list) -> pa.Table:
         parts, found = _chunk(table, length, gram)
         full, picked = picked_strings(found, answers[0][0] if answers else np.zeros(0, np.uint8))
-        names, places, of = _strings(parts, found, picked, length)
-        _, _, place = _distinct(names)
-        again = answers[1][0][place] > 0 if len(answers) > 1 and answers[1] else np.zeros(len(names), bool)
-        out, done = [], 0
-        for i, (part, s) in enumerate(zip(parts, found)):
+        names, places, many = _strings(parts, found, picked, length)
+        again = answers[1][0][_distinct(names)[2]] > 0 if len(answers) > 1 and answers[1] else np.zeros(len(names), bool)
+        del names
+        out, done, told = [], 0, 0
+        for part, s, n in zip(parts, found, many):
             body = Bytes(part.column(1))
             own = full[done:done + len(s.first)]
             done += len(s.first)
             edge = np.zeros(len(body.data) + 1, np.int32)
             np.add.at(edge, s.first[own], 1)
             np.add.at(edge, s.last[own] + length, -1)
-            mine = places[again & (of == i)]
+            mine = places[told:told + n][again[told:told + n]].astype(np.int64)
+            told += n
             np.add.at(edge, mine, 1)
             np.add.at(edge, mine + length, -1)
             out.append(_result(part, body, np.cumsum(edge[:-1]) > 0, keep_bytes))
