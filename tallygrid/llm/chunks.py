@@ -94,7 +94,12 @@ def unpack_all(blobs: list[bytes], plain: Callable | None = None) -> list[np.nda
     return [np.concatenate(c) for c in zip(*parts)] if parts else []
 
 
-def answer(asked: DataFrame, fn: Callable[[list[np.ndarray], np.ndarray], list[np.ndarray]]) -> DataFrame:
+def by_bucket(asked: DataFrame, buckets: int) -> DataFrame:
+    """Blocks dealt to a partition per bucket, which adaptive execution does not merge into larger ones."""
+    return asked.repartition(buckets, "bucket")
+
+
+def answer(asked: DataFrame, buckets: int, fn: Callable[[list[np.ndarray], np.ndarray], list[np.ndarray]]) -> DataFrame:
     """Run ``fn(columns, chunk of each entry)`` for every bucket; it returns columns in the same order."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -111,7 +116,7 @@ def answer(asked: DataFrame, fn: Callable[[list[np.ndarray], np.ndarray], list[n
             "bucket": pa.array([table.column("bucket")[0].as_py()] * len(data), pa.int32()), "chunk": pa.array(chunks, pa.int32()),
             "stage": pa.array([table.column("stage")[0].as_py()] * len(data), pa.int32()), "data": pa.array(data, pa.binary())})
 
-    return asked.groupBy("bucket").applyInArrow(run, BLOCK)
+    return by_bucket(asked, buckets).groupBy("bucket").applyInArrow(run, BLOCK)
 
 
 def parts_of(table: pa.Table) -> Iterator[pa.RecordBatch]:

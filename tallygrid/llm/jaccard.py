@@ -137,7 +137,7 @@ def sets_with_index(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCE
                 pa.string(), pa.int64(), None, pa.int32(), None, pa.binary()))]],
             names=["doc_id", "row", *out])
 
-    answers = ch.ask(rows, ask).groupBy("bucket").applyInArrow(frequency, ch.BLOCK)
+    answers = ch.by_bucket(ch.ask(rows, ask), buckets).groupBy("bucket").applyInArrow(frequency, ch.BLOCK)
     return ch.ask(rows, index, answers, "doc_id bigint, row string, class string, n bigint, tokens array<bigint>, shorts int, "
                                         "bits array<bigint>, members binary")
 

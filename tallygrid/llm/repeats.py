@@ -42,6 +42,8 @@ LENGTH = 200
 GRAM = 64
 _LOW = np.uint64(0xFFFFFFFF)
 FULL, ASK = 1, 2
+#: Text named at once; every byte takes some 80 bytes meanwhile.
+SLICE_BYTES = 1 << 19
 
 
 def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
@@ -122,7 +124,7 @@ def _judge_strings(columns: list[np.ndarray], chunk: np.ndarray) -> list[np.ndar
 
 
 def _chunk(table: pa.Table, length: int, gram: int) -> tuple[list[pa.RecordBatch], list[Stretches]]:
-    parts = list(slices(ch.parts_of(table)))
+    parts = list(slices(ch.parts_of(table), limit=SLICE_BYTES))
     found = []
     for part in parts:
         s = Stretches(Bytes(part.column(1)), length, gram)
@@ -199,8 +201,8 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, d
             out.append(_result(part, body, np.cumsum(edge[:-1]) > 0, keep_bytes))
         return pa.Table.from_batches(out)
 
-    stretches = ch.answer(ch.ask(rows, ask_stretches), _judge_stretches)
-    strings = ch.answer(ch.ask(rows, ask_strings, stretches), _judge_strings)
+    stretches = ch.answer(ch.ask(rows, ask_stretches), buckets, _judge_stretches)
+    strings = ch.answer(ch.ask(rows, ask_strings, stretches), buckets, _judge_strings)
     schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept binary" * keep_bytes
     return ch.ask(rows, finish, stretches.unionByName(strings), schema)
 
