@@ -13,6 +13,7 @@ on the order of its documents, so answers fit after lost executors too.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from functools import partial
 
@@ -64,11 +65,11 @@ def ask(rows: DataFrame, fn: Callable[[pa.Table, int, list[np.ndarray]], pa.Tabl
     """Run ``fn(documents, chunk, answers by stage)`` for every chunk; ``plain(stage, columns)`` decodes a block."""
 
     def alone(table: pa.Table) -> pa.Table:
+        out = fn(table, table.column("chunk")[0].as_py(), [])
         give_back()
-        return fn(table, table.column("chunk")[0].as_py(), [])
+        return out
 
     def answered(table: pa.Table, blocks: pa.Table) -> pa.Table:
-        give_back()
         got: dict[int, list] = {}
         for stage, bucket, data in zip(*(blocks.column(c).to_pylist() for c in ("stage", "bucket", "data"))
                                        ) if blocks.num_rows else ():
@@ -76,7 +77,10 @@ def ask(rows: DataFrame, fn: Callable[[pa.Table, int, list[np.ndarray]], pa.Tabl
         if not table.num_rows:
             raise ValueError("an answer for a chunk without documents")
         parts = [unpack_all([d for _, d in sorted(got.pop(s, []))], plain and partial(plain, s)) for s in range(max(got, default=-1) + 1)]
-        return fn(table, table.column("chunk")[0].as_py(), parts)
+        out = fn(table, table.column("chunk")[0].as_py(), parts)
+        del parts
+        give_back()
+        return out
 
     if answers is None:
         return rows.groupBy("chunk").applyInArrow(alone, schema)
@@ -84,8 +88,11 @@ def ask(rows: DataFrame, fn: Callable[[pa.Table, int, list[np.ndarray]], pa.Tabl
 
 
 def give_back() -> None:
-    """Hand memory that earlier groups no longer use back to the system; workers live as long as the executor."""
+    """Hand memory that a group no longer needs back to the system: idle workers live on beside the busy ones."""
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def unpack_all(blobs: list[bytes], plain: Callable | None = None) -> list[np.ndarray]:
@@ -103,13 +110,14 @@ def answer(asked: DataFrame, buckets: int, fn: Callable[[list[np.ndarray], np.nd
     """Run ``fn(columns, chunk of each entry)`` for every bucket; it returns columns in the same order."""
 
     def run(table: pa.Table) -> pa.Table:
-        give_back()
         # blocks in order of their chunk, so that results do not depend on how they arrived
         order = np.argsort(table.column("chunk").to_numpy(), kind="stable")
         chunks = table.column("chunk").to_numpy()[order]
         parts = [unpack(table.column("data")[int(i)].as_py()) for i in order]
         sizes = np.array([len(p[0]) for p in parts])
         columns = fn([np.concatenate(c) for c in zip(*parts)], np.repeat(chunks, sizes))
+        del parts
+        give_back()
         ends = np.cumsum(sizes)
         data = [pack(*[c[e - n:e] for c in columns]) for n, e in zip(sizes, ends)]
         return pa.Table.from_pydict({
