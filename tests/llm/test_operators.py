@@ -379,12 +379,34 @@ def test_mixing_is_a_probability():
     assert 0.8 < total <= 1.0
 
 
+def test_shares_of_a_context_add_up_to_one():
+    """Whatever follows a context, over 100,000 units with one class of 16 bits for several of them."""
+    import pyarrow as pa
+
+    units = mixing.Units(pa.array([f"w{k}" for k in range(100_000)] + ["w7 w8", "w7"] * 20))
+    words = units.words(np.ones(units.docs))
+    key, place, count = np.unique(units.pairs(40), return_inverse=True, return_counts=True)
+    _, where, sight = np.unique(key >> np.uint64(mixing.CLASS_BITS), return_inverse=True, return_counts=True)
+    context = np.bincount(where, count)[where][place]
+    shares = mixing.class_shares(words, mixing.class_counts(words))
+    first = np.flatnonzero(np.concatenate([[True], units.doc[1:] != units.doc[:-1]]))
+    _, one = np.unique(units.word_names[first] * np.uint64(8) + units.stop[first].astype(np.uint64), return_index=True)
+    first = first[one]  # every distinct unit that begins a text
+    bits = mixing.with_context(np.full(len(first), np.inf), count[place][first], context[first], np.ones(len(first), bool),
+                               shares[units.place, units.stop][first])
+    total = np.exp2(-bits).sum() / mixing.RUN_PRIOR[0]
+    assert len(first) == 100_001 and len(key) < len(first) and 0.95 < total <= 1 + 1e-9
+    unseen = mixing.with_context(np.array([9.0]), np.array([5]), np.array([9]), np.array([True]), np.array([0.0]))
+    assert unseen[0] > 9
+
+
 def test_with_context_uses_the_past_only():
     bits, pair, context = np.full(8, 9.0), np.array([0, 1, 1, 1, 0, 1, 2, 3]), np.array([0, 1, 1, 1, 1, 2, 2, 3])
     begins = np.array([True] + [False] * 4 + [True, False, False])
-    out = mixing.with_context(bits, pair, context, begins)
-    shorter = mixing.with_context(bits[:4], pair[:4], context[:4], begins[:4])
-    assert np.allclose(out[:4], shorter) and np.allclose(out[5:], mixing.with_context(bits[5:], pair[5:], context[5:], begins[5:]))
+    whole = np.ones(8)
+    out = mixing.with_context(bits, pair, context, begins, whole)
+    shorter = mixing.with_context(bits[:4], pair[:4], context[:4], begins[:4], whole[:4])
+    assert np.allclose(out[:4], shorter) and np.allclose(out[5:], mixing.with_context(bits[5:], pair[5:], context[5:], begins[5:], whole[5:]))
     assert out[0] == 9 and out[3] < out[2] < out[1] < 9 and out[4] > 9
 
 
