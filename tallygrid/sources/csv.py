@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..functions.columns import count_if
+from .records import quoted_csv
 
 # The texts a CSV reader of data frames takes as missing by default.
 DEFAULT_NA = (
@@ -24,12 +25,13 @@ def normalize_na(df: DataFrame, cols: Sequence[str], tokens: Sequence[str] = DEF
 
 # A number as people write it; a cast alone would also take codes such as 1D or 2F.
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-# Rows of a written CSV file: quoted line breaks make a file one reading task.
+# Rows of a written CSV file.
 FILE_ROWS = 200_000
 
 
 def _raw(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
-    raw = spark.read.csv(path, header=True, nullValue=_NEVER, multiLine=multi_line, escape='"')
+    options = {"nullValue": _NEVER, "escape": '"'}
+    raw = quoted_csv(spark, path, options) if multi_line else spark.read.csv(path, header=True, **options)
     return raw.fillna("")
 
 
@@ -57,7 +59,8 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
              na_tokens: Sequence[str] = DEFAULT_NA, multi_line: bool = True) -> DataFrame:
     """Header CSV; NA tokens become null before types are found or the schema is applied.
 
-    ``multi_line=False`` splits large files over tasks, for data without quoted line breaks.
+    Files with quoted line breaks are split over tasks too (module ``records``), at the cost of
+    one more reading pass; ``multi_line=False`` saves it for data without such breaks.
     """
     raw = _raw(spark, path, multi_line)
     text = normalize_na(raw, raw.columns, na_tokens)
