@@ -23,12 +23,17 @@ def shape_summary(df: DataFrame, target: str, expected_rows: int | None = None)
         (F.col("rows") - F.lit(expected_rows).cast("long")).alias("difference"))
 
 
+#: Values up to this size are compared as they are, longer ones by their SHA-256.
+SHORT_BYTES = 31
+
+
 def column_overview(df: DataFrame, cols: Sequence[str] | None = None,
                     approx: bool = False) -> DataFrame:
     """Dtype, kind, nulls and distinct values per column.
 
     Exact counts go through (variable, value) pairs, so a frequent value is
-    collapsed before the shuffle; ``approx`` needs one pass and no pair shuffle.
+    collapsed before the shuffle, which carries at most 32 bytes of a value;
+    ``approx`` needs one pass and no pair shuffle.
     """
     cols = list(cols or df.columns)
     types = {f.name: f.dataType for f in df.schema.fields}
@@ -40,7 +45,10 @@ def column_overview(df: DataFrame, cols: Sequence[str] | None = None,
             *[F.approx_count_distinct(c).alias(f"n_distinct__{i}") for i, c in enumerate(cols)])
         found = stack_columns(wide, cols, ["missing_count", "n_distinct"])
     else:
-        pairs = unpivot_values(df, cols, "string").groupBy("variable", "value").count()
+        # long values travel as digests; a digest is longer than any value that travels as it is
+        short = F.when(F.octet_length("value") <= SHORT_BYTES, F.col("value").cast("binary")) \
+            .otherwise(F.unhex(F.sha2("value", 256)))
+        pairs = unpivot_values(df, cols, "string").withColumn("value", short).groupBy("variable", "value").count()
         found = pairs.groupBy("variable").agg(
             F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("count"))), F.lit(0))
             .alias("missing_count"),

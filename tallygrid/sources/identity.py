@@ -2,18 +2,48 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+import re
+from collections.abc import Iterator, Sequence
+from urllib.parse import unquote
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.columns import count_if
 
 
-def file_fingerprint(spark: SparkSession, path_glob: str) -> DataFrame:
-    """SHA-256 per file. A file is one row here, so Spark's 2 GB cell limit applies;
-    larger data are identified by ``table_fingerprint``."""
-    files = spark.read.format("binaryFile").load(path_glob)
-    return files.select("path", "length", F.sha2("content", 256).alias("sha256"))
+def _digest(path: str, step: int) -> tuple[int, str]:
+    """Bytes and SHA-256 of the file at a percent-encoded address."""
+    local = re.match(r"file:/+", path)
+    system, name = (fs.LocalFileSystem(), "/" + unquote(path[local.end():])) if local else fs.FileSystem.from_uri(path)
+    digest, length = hashlib.sha256(), 0
+    with system.open_input_stream(name) as stream:
+        while part := stream.read(step):
+            digest.update(part)
+            length += len(part)
+    return length, digest.hexdigest()
+
+
+def file_fingerprint(spark: SparkSession, path_glob: str, step: int = 1 << 20) -> DataFrame:
+    """SHA-256 per file, of any size: paths are rows, and a file is hashed ``step`` bytes at a time in one task.
+
+    Spark lists the files, empty ones included; tasks open them by the file systems Arrow knows.
+    """
+    paths = spark.read.format("binaryFile").load(path_glob).inputFiles()
+    tasks = max(1, min(len(paths), 8 * spark.sparkContext.defaultParallelism))
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = batch.column(0).to_pylist()
+            found = [_digest(path, step) for path in names]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([unquote(p) for p in names], pa.string()), pa.array([n for n, _ in found], pa.int64()),
+                 pa.array([d for _, d in found], pa.string())], names=["path", "length", "sha256"])
+
+    files = spark.createDataFrame([(p,) for p in paths], "path string").repartition(tasks)
+    return files.mapInArrow(digests, "path string, length bigint, sha256 string")
 
 
 def table_fingerprint(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

@@ -97,6 +97,23 @@ def test_file_fingerprint_equals_hashlib(spark):
             assert hashlib.sha256(f.read()).hexdigest() == r["sha256"]
 
 
+def test_file_fingerprint_reads_in_steps(spark, tmp_path):
+    """A step far below the file's size, an empty file, and names with blanks and percent signs."""
+    held = {"a b.bin": os.urandom(100_003), "c%20d.bin": b"", "é#?.bin": b"x" * 7}
+    for name, data in held.items():
+        (tmp_path / name).write_bytes(data)
+    got = {os.path.basename(r["path"]): (r["length"], r["sha256"]) for r in
+           identity.file_fingerprint(spark, str(tmp_path), step=1000).collect()}
+    assert got == {n: (len(d), hashlib.sha256(d).hexdigest()) for n, d in held.items()}
+
+
+def test_column_overview_of_long_values(spark):
+    """Long values that differ in their last byte only, values as long as a digest, nulls and empty texts."""
+    values = [None, "", "x" * 31, "x" * 32, "x" * 33, "y" * 5000 + "a", "y" * 5000 + "b", "y" * 5000 + "b", "é" * 16, None]
+    got = prof.column_overview(spark.createDataFrame([(v,) for v in values], "v string")).first()
+    assert (got["missing_count"], got["n_distinct"]) == (2, 7)
+
+
 def test_fingerprint_ignores_order_and_counts_copies(odd):
     a = identity.table_fingerprint(odd).first()
     assert identity.table_fingerprint(odd.orderBy(F.desc("k")).repartition(3)).first() == a
