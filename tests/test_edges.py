@@ -200,3 +200,14 @@ def test_fingerprint_tells_nulls_and_borders_apart(spark):
     tables = [[(None, "a")], [("\\N", "a")], [("n", "a")], [("a,1:b", "c")], [("a", "b,1:c")]]
     prints = {identity.table_fingerprint(spark.createDataFrame(t, "x string, y string")).first()["fingerprint"] for t in tables}
     assert len(prints) == len(tables)
+
+
+def test_marking_deals_no_rows_by_group(spark, capsys):
+    """One group of nearly all rows must not become one task's input."""
+    from tallygrid.operators.splits import mark_first_by_hash
+
+    rows = spark.range(3000).select(F.col("id").cast("string").alias("k"), F.when(F.col("id") > 9, "most").alias("g"))
+    marked = mark_first_by_hash(rows, "k", lambda sizes: sizes.select("g", F.floor(F.col("n") / 5).alias("quota")), ["g"])
+    marked.explain()
+    assert "SortMergeJoin" not in capsys.readouterr().out
+    assert {r["g"]: r["n"] for r in marked.where("chosen").groupBy("g").agg(F.count("*").alias("n")).collect()} == {None: 2, "most": 598}
