@@ -211,3 +211,12 @@ def test_marking_deals_no_rows_by_group(spark, capsys):
     marked.explain()
     assert "SortMergeJoin" not in capsys.readouterr().out
     assert {r["g"]: r["n"] for r in marked.where("chosen").groupBy("g").agg(F.count("*").alias("n")).collect()} == {None: 2, "most": 598}
+
+
+@pytest.mark.parametrize("name", ["fit_median_impute", "feature_vectors", "feature_pipeline"])
+def test_fits_read_their_joined_rows_once(spark, capsys, name):
+    """Medians, indexes and results read rows that are settled, not the joins anew."""
+    from tallygrid.plans import preparing
+
+    preparing.QUERIES[name](spark, "/root/testdata/sf0.001").explain()
+    assert "parquet" not in capsys.readouterr().out
