@@ -450,3 +450,28 @@ def test_language_id(spark, special, nothing):
     assert language_id.fit(nothing, F.lit(True)) is None
     assert {r["lang_pred"] for r in language_id.predict(special, None).collect()} == {"und"}
     assert not language_id.predict(nothing, model).count()
+
+
+def test_jaccard_families_meet_in_blocks(spark):
+    """Texts near one base of which many do not link: few families, links found in tiles of small blocks."""
+    rng, base = random.Random(3), prose(9, 120).split()
+    texts = []
+    for k in range(150):
+        words = list(base)
+        for at in rng.sample(range(len(words)), 1 + k % 5):
+            words[at] = f"new{rng.random()}"
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(5)
+    sets = jaccard.settle(jaccard.sets_with_index(docs)).where("tokens is not null")
+    classes, members = sets.dropDuplicates(["class"]), sets.select("class", "members").dropDuplicates(["class"])
+    groups = jaccard.settle(jaccard.groups_of(classes, members))
+    assert groups.select("family").distinct().count() <= groups.count() // 5
+    links = jaccard.settle(jaccard.links_between(classes, members, groups, block=8))
+    root = {r["node"]: r["root"] for r in jaccard.components(links).collect()}
+    group = {r["class"]: root.get(r["group"], r["group"]) for r in groups.collect()}
+    name = {r["class"]: r["doc_id"] for r in sets.collect()}
+    got = sorted(sorted(name[c] for c in group if group[c] == g) for g in set(group.values()))
+    want = {}
+    for i, n, c in plain.near_copies(pairs(docs)):
+        want.setdefault(c, []).append(i)
+    assert [g for g in got if len(g) > 1] == sorted(sorted(g) for g in want.values() if len(g) > 1)
