@@ -318,3 +318,30 @@ def test_network_does_not_depend_on_the_layout(scaled):
     runs = [net.mlp_fit(train.repartition(n), "features", M.TARGET, M.KEY, epochs=3).history for n in (3, 11)]
     for a, b in zip(*runs):
         assert a[0] == b[0] and np.allclose(a[1:3], b[1:3], rtol=1e-9)
+
+
+def test_network_loss_reads_packed_rows(spark):
+    """An epoch's pass over the validation rows reads whole groups, not one row after another."""
+    rng = np.random.default_rng(7)
+    x, y, layers = rng.normal(size=(300, 3)), rng.normal(size=300), (8, 4, 1)
+    w = net.initial_weights(3, layers, 1)
+    rows = spark.createDataFrame([(i, x[i].tolist(), float(y[i])) for i in range(300)], "k int, x array<double>, y double")
+    packed = net._groups(rows, "k", 50)
+    assert packed.count() == net.LEAST_GROUPS
+    assert net._mean_loss(packed, w, layers) == pytest.approx(((net.forward(x, w, layers)[-1][:, 0] - y) ** 2).mean())
+
+
+def test_network_pass_steps_by_gradient():
+    rng = np.random.default_rng(8)
+    x, y, layers = rng.normal(size=(70, 3)), rng.normal(size=70), (8, 4, 1)
+    state = np.zeros((3, len(net.initial_weights(3, layers, 1))))
+    state[0] = net.initial_weights(3, layers, 1)
+    before = state.copy()
+    got, steps = net.adam_pass(x, y, state, 5, layers, np.random.default_rng(2))
+    order, (w, m, v) = np.random.default_rng(2).permutation(70), state
+    for step, start in enumerate(range(0, 70, net.BATCH), 6):
+        rows = order[start:start + net.BATCH]
+        g = net.gradient(x[rows], y[rows], w, layers)
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        w = w - 1e-3 * np.sqrt(1 - 0.999 ** step) / (1 - 0.9 ** step) * m / (np.sqrt(v) + 1e-7)
+    assert steps == 8 and np.allclose(got, [w, m, v]) and (state == before).all()
