@@ -475,3 +475,11 @@ def test_jaccard_families_meet_in_blocks(spark):
     for i, n, c in plain.near_copies(pairs(docs)):
         want.setdefault(c, []).append(i)
     assert [g for g in got if len(g) > 1] == sorted(sorted(g) for g in want.values() if len(g) > 1)
+
+
+def test_mixing_counts_of_a_text_itself():
+    rng = np.random.default_rng(4)
+    doc, pair = np.sort(rng.integers(0, 6, 400)), rng.integers(0, 20, 400)
+    context, learned = pair // 4, (doc % 2).astype(float)
+    for key, got in zip((pair, context), mixing._own_counts(pair, context, doc, learned)):
+        assert got.tolist() == [int(((doc == d) & (key == k)).sum() * (d % 2)) for d, k in zip(doc, key)]
