@@ -483,3 +483,25 @@ def test_mixing_counts_of_a_text_itself():
     context, learned = pair // 4, (doc % 2).astype(float)
     for key, got in zip((pair, context), mixing._own_counts(pair, context, doc, learned)):
         assert got.tolist() == [int(((doc == d) & (key == k)).sum() * (d % 2)) for d, k in zip(doc, key)]
+
+
+def test_mixing_blocks_travel_compressed():
+    """Small numbers in blocks take little more than their entropy, and come back whole."""
+    rng = np.random.default_rng(7)
+    n = 20_000
+    counts = np.zeros((n, mixing.STOPS), np.int64)
+    counts[np.arange(n), rng.integers(0, 2, n)] = rng.geometric(0.5, n)
+    counts[0, 0] = 1 << 40
+    words = mixing.Words(np.sort(rng.integers(0, 1 << 63, n).astype(np.uint64)), counts, np.full(n, 5), rng.integers(97, 101, 5 * n).astype(np.uint8))
+    blob = words.packed()
+    assert len(blob) < 11 * n
+    back = mixing.Words.unpacked(blob)
+    for f in ("name", "counts", "sizes", "data"):
+        assert getattr(back, f).tolist() == getattr(words, f).tolist()
+    asked = mixing._blocks(3, 1, words.name, [np.ones(n, np.uint32)], np.array([0, 0, 5, n]))
+    assert asked.column("bucket").to_pylist() == [1, 2] and set(asked.column("chunk").to_pylist()) == {3}
+    keys, ones = mixing._open(asked.column("data")[1].as_py())
+    assert mixing.from_planes(keys).tolist() == words.name[5:].tolist()
+    assert asked.nbytes < 8 * n and mixing.from_byte_planes(ones, np.uint32).tolist() == [1] * (n - 5)
+    answer = mixing._squeeze(mixing.byte_planes(np.ones(2, np.uint32)), np.zeros(2, np.float32), mixing.byte_planes(np.full(2, 1 << 40)))
+    assert [x.tolist() for x in mixing.plain_counts(0, mixing._open(answer))] == [[1, 1], [0, 0], [1 << 40] * 2]
