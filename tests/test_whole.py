@@ -3,7 +3,7 @@
 import pytest
 from pyspark.ml.linalg import Vectors
 
-from tallygrid.operators import models as mod
+from tallygrid.operators import models as mod, neural as net
 from tallygrid.plans import modelling as M
 
 
@@ -40,3 +40,17 @@ def test_boosted_multiclass_runs_all_rounds(spark, rows, monkeypatch):
 def test_classes_are_boosted_at_the_same_time(spark, rows, monkeypatch):
     seen = _settings(monkeypatch, mod, "OneVsRest", lambda: M.QUERIES["boosted_multiclass"](spark, ""))
     assert seen["parallelism"] == 3
+
+
+def test_mlp_history_runs_until_patience_ends_it(spark, rows, monkeypatch):
+    seen = _settings(monkeypatch, net, "mlp_fit", lambda: M.QUERIES["mlp_history"](spark, ""))
+    assert seen.get("epochs", 500) == 500
+
+
+def test_validation_shares_the_next_epochs_pass(rows, monkeypatch):
+    single, mean_loss = [], net._mean_loss
+    monkeypatch.setattr(net, "_mean_loss", lambda *a: single.append(1) or mean_loss(*a))
+    fit = net.mlp_fit(rows, "features", M.TARGET, M.KEY, layers=(2, 1), epochs=3)
+    assert [e for e, *_ in fit.history] == [1, 2, 3] and len(single) == 1
+    held = net.mlp_fit(rows, "features", M.TARGET, M.KEY, layers=(2, 1), epochs=2).history
+    assert [h[:3] for h in held] == [pytest.approx(h[:3], rel=1e-9) for h in fit.history[:2]]
