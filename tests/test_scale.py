@@ -68,3 +68,16 @@ def test_windowed_chunks_equal_one_window(skewed, hot_rows):
     key = lambda r: (r[0], r[1])
     assert sorted(map(tuple, got.select(*cols).collect()), key=key) == \
         sorted(map(tuple, want.select(*cols).collect()), key=key)
+
+
+def test_forgotten_tables_leave_no_files(spark):
+    import glob
+
+    from tallygrid.functions import scale
+
+    folder = scale.checkpoint_dir(spark).replace("file:", "")
+    before = set(glob.glob(f"{folder}/**/part-*", recursive=True))
+    kept, gone = scale.settle(spark.range(10)), scale.settle(spark.range(1000))
+    assert len(set(glob.glob(f"{folder}/**/part-*", recursive=True)) - before) > kept.rdd.getNumPartitions()
+    scale.forget(gone)
+    assert len(set(glob.glob(f"{folder}/**/part-*", recursive=True)) - before) == kept.rdd.getNumPartitions() and kept.count() == 10
